@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontam
+from quire.llm import decontam, langid, simhash
 from quire.llm.common import table
 from quire.llm.sql import SQL
 
@@ -13,8 +13,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op7_language": op7_language,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLES = {k: v for k, v in SQL.items() if k in QUERIES}
