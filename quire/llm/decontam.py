@@ -286,7 +286,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, window: int = 10, max_co
     """
     at = docs.columns.index(text_col)
     found = find(docs, bench, window=window, text_col=text_col)
-    last = len(docs.columns)
+    names, last = docs.columns, len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,12 +300,12 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, window: int = 10, max_co
             if changed:
                 columns[at] = pa.array(texts, pa.binary()).cast(batch.schema.field(at).type)
                 if count_col is not None:
-                    c = docs.columns.index(count_col)
+                    c = names.index(count_col)
                     old = columns[c].to_pylist()
                     for i, t in changed.items():
                         old[i] = len(t.decode())
                     columns[c] = pa.array(old, batch.schema.field(c).type)
-            yield pa.RecordBatch.from_arrays(columns, docs.columns).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
 
     return found.mapInArrow(run, docs.schema)
 

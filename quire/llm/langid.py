@@ -40,6 +40,8 @@ class Trees:
 
     def __init__(self, texts: dict[str, list[bytes]], order: int = ORDER, entries: int = ENTRIES):
         self.names = sorted(texts)
+        if not texts:
+            return
         streams = {name: np.frombuffer(BREAK + BREAK.join(map(folded, own)), np.uint8) for name, own in texts.items()}
         seen = np.unique(np.concatenate([*streams.values(), np.frombuffer(b" ", np.uint8)]))
         self.order, self.width = order, len(seen) + 1  # the last symbol stands for bytes never seen
