@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontam, langid, mixing, simhash
+from quire.llm import decontam, langid, mixing, rules, simhash
 from quire.llm.common import table
 from quire.llm.sql import SQL
 
@@ -17,6 +17,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.report(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_mixing": op4_mixing,
+    "op5_quality_rules": op5_quality_rules,
     "op7_language": op7_language,
     "op9_simhash": op9_simhash,
 }

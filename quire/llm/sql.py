@@ -29,6 +29,63 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS
 FROM docs d LEFT JOIN hit h USING (rid) LEFT JOIN named m USING (rid)
 """
 
+OP5 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents
+), grams AS (
+  SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM texts)
+), twice AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM grams) WHERE c > 1
+), covered AS (
+  SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + 3)) AS j FROM twice) GROUP BY rid
+), m AS (
+  SELECT t.rid, doc_id, coalesce(lang, chr(1)) AS lang, coalesce(source, chr(1)) AS source,
+         CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts t LEFT JOIN covered c USING (rid)
+), b AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         word_chars * 1000 // greatest(n_words, 1) AS length_v, n_symbols * 1000 // greatest(n_words, 1) AS symbols_v,
+         n_dup_lines * 1000 // greatest(n_lines, 1) AS lines_v, n_repeat_words * 1000 // greatest(n_words, 1) AS repeats_v
+  FROM m
+), v AS (
+  SELECT lang, source, 'length' AS measure, length_v AS v FROM b WHERE NOT base_failed
+  UNION ALL SELECT lang, source, 'symbols', symbols_v FROM b WHERE NOT base_failed
+  UNION ALL SELECT lang, source, 'lines', lines_v FROM b WHERE NOT base_failed
+  UNION ALL SELECT lang, source, 'repeats', repeats_v FROM b WHERE NOT base_failed
+), r AS (
+  SELECT lang, source, measure, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS v FROM v
+), q AS (
+  SELECT lang, source, measure, count(*) AS docs, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM r GROUP BY ALL
+), a AS (
+  SELECT measure, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM r GROUP BY ALL
+), groups AS (
+  SELECT DISTINCT lang, source FROM b
+), f AS (
+  SELECT g.lang, g.source, a.measure,
+         CASE WHEN q.docs >= 50 THEN q.q1 ELSE a.q1 END AS q1, CASE WHEN q.docs >= 50 THEN q.q3 ELSE a.q3 END AS q3,
+         CASE a.measure WHEN 'length' THEN 400 WHEN 'symbols' THEN 25 WHEN 'lines' THEN 250 ELSE 100 END AS least
+  FROM groups g CROSS JOIN a LEFT JOIN q ON q.lang = g.lang AND q.source = g.source AND q.measure = a.measure
+), h AS (
+  SELECT lang, source,
+         max(CASE WHEN measure = 'length' THEN q1 - 3 * greatest(q3 - q1, least) END) AS length_low,
+         max(CASE WHEN measure = 'length' THEN q3 + 3 * greatest(q3 - q1, least) END) AS length_high,
+         max(CASE WHEN measure = 'symbols' THEN q3 + 3 * greatest(q3 - q1, least) END) AS symbols_high,
+         max(CASE WHEN measure = 'lines' THEN q3 + 3 * greatest(q3 - q1, least) END) AS lines_high,
+         max(CASE WHEN measure = 'repeats' THEN q3 + 3 * greatest(q3 - q1, least) END) AS repeats_high
+  FROM f GROUP BY ALL
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(length_v BETWEEN length_low AND length_high AND symbols_v <= symbols_high AND lines_v <= lines_high AND repeats_v <= repeats_high, false) AS kept
+FROM b LEFT JOIN h ON b.lang = h.lang AND b.source = h.source
+"""
+
 SQL = {
+    "op5_quality_rules": OP5,
     "op1_decontaminate": OP1,
 }
