@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     of = cut(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))
     points = cut(of.groupBy("fp").agg(F.min(id_col).alias("__first"), F.count("*").alias("__n")))
     star = components(links(points.select("fp"), most=most))
-    star = star.select(F.col("node").alias("fp"), "root").join(points.select("fp", "__first"), "fp")
+    star = cut(star.select(F.col("node").alias("fp"), "root").join(points.select("fp", "__first"), "fp"))
     least = star.groupBy("root").agg(F.min("__first").alias("__least"), F.count("*").alias("__n"))
     star = lookup(star, least, "root", "__n").select("fp", "__least")
     small = points.join(star, "fp", "left").select("fp", F.coalesce("__least", "__first").alias("component_id"), "__n")

@@ -114,5 +114,8 @@ def test_keep_one_and_empty(spark):
 def test_chain_components(spark):
     n = 70
     links = [(i, i + 1) for i in range(n)] + [(500 + i, 500) for i in range(1, 40)] + [(7, 7)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
-    assert got == {**{i: 0 for i in range(n + 1)}, **{500 + i: 500 for i in range(40)}}
+    links = spark.createDataFrame(links, "a long, b long")
+    for block in (1 << 20, 20):  # in one task, and in rounds
+        got = {r.node: r.root for r in components(links, block=block).collect()}
+        assert got == {**{i: 0 for i in range(n + 1)}, **{500 + i: 500 for i in range(40)}}
+    assert components(links.limit(0)).count() == 0
