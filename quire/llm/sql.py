@@ -85,7 +85,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b LEFT JOIN h ON b.lang = h.lang AND b.source = h.source
 """
 
+OP2 = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS rid, page_id, url, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT rid, page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS hex,
+         row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST, rid) AS k,
+         first_value(page_id) OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST, rid) AS best
+  FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k > 1 THEN best END AS refers_to
+FROM d
+"""
+
 SQL = {
+    "op2_warc": OP2,
     "op5_quality_rules": OP5,
     "op1_decontaminate": OP1,
 }
