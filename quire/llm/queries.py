@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontam, langid, mixing, rules, secrets, simhash, warc
+from quire.llm import decontam, langid, mixing, quality, rules, secrets, simhash, toxicity, warc
 from quire.llm.common import table
 from quire.llm.sql import SQL
 
@@ -17,6 +17,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(spark, table(spark, sf_dir, "pages"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
@@ -40,10 +48,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_warc": op2_warc,
+    "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_secrets": op6_secrets,
     "op7_language": op7_language,
+    "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,
 }
 
