@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontam, langid, mixing, quality, rules, secrets, simhash, toxicity, warc
+from quire.llm import decontam, langid, mixing, quality, rules, secrets, simhash, substring, toxicity, warc
 from quire.llm.common import table
 from quire.llm.sql import SQL
 
@@ -45,6 +45,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_warc": op2_warc,
@@ -55,6 +59,7 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
     "op9_simhash": op9_simhash,
+    "op10_substring": op10_substring,
 }
 
 ORACLES = {k: v for k, v in SQL.items() if k in QUERIES}
