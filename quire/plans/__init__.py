@@ -1,0 +1,5 @@
+"""Queries over the given tables, by group."""
+
+from quire.plans import links_plans, text_plans
+
+GROUPS = [text_plans.plans, links_plans.plans]
