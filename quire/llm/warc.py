@@ -126,7 +126,7 @@ def _writer(out: str, roll: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(out)
         tag = f"{TaskContext.get().partitionId()}-{TaskContext.get().taskAttemptId()}"
-        open_file, at, done, last = None, None, [], None
+        open_file, at, done, known, first = None, None, [], None, True
         fs.create_dir(f"{base}/_temporary", recursive=True)
 
         def start(shard: int, seq: int):
@@ -156,10 +156,15 @@ def _writer(out: str, roll: int):
                 elif at["bytes"] >= roll:
                     stop()
                     start(at["shard"], at["seq"] + 1)
-                digest = base64.b32encode(bytes.fromhex(r["digest"])).decode()
                 key = (r["page_id"], r["url"], r["digest"])
-                refers = (r["response"],) if r["revisit"] or (r["once"] and key == last) else None
-                last = key
+                if r["step"] == 0:
+                    known, first = (key, r["response"], r["revisit"]), True
+                    continue
+                refers = None
+                if known is not None and known[0] == key:
+                    refers = (known[1],) if known[2] or not first else None
+                    first = False
+                digest = base64.b32encode(bytes.fromhex(r["digest"])).decode()
                 put(page_record(r["page_id"], r["url"], b"" if refers else (r["html"] or b""), r["n"], digest, refers))
         if at is not None:
             stop()
@@ -176,12 +181,14 @@ def write(pages: DataFrame, out: str, *, id_col: str = "page_id", url_col: str =
     rows = rows.select("*", F.octet_length("html").cast("bigint").alias("n"), F.sha1("html").alias("digest"), F.xxhash64("page_id", "url", "html").alias("h"))
     # struct order puts null ids first, so the largest id wins; of equal ids, the greater address
     best = rows.filter(F.col("n") >= min_revisit).groupBy("digest").agg(F.max(F.struct("page_id", F.coalesce("url", F.lit("")).alias("u"))).alias("best"), F.count("*").alias("many")).filter("many > 1")
-    chosen = lookup(rows, best, "digest", "many")
+    # what is told of rows with copies goes to their shard without the payload, ahead of the row itself
+    told = lookup(rows.select("page_id", "url", "n", "digest", "h"), best, "digest", "many").filter("best is not null")
     is_best = F.col("best.page_id").eqNullSafe(F.col("page_id")) & (F.col("best.u") == F.coalesce("url", F.lit("")))
-    chosen = chosen.select("page_id", "url", "n", "digest", "h", F.col("best.page_id").alias("response"), F.col("best").isNotNull().alias("once"), (F.col("best").isNotNull() & ~is_best).alias("revisit"), "html")
-    chosen = chosen.withColumn("html", F.when(~F.col("revisit"), F.col("html")))
+    told = told.select("page_id", "url", "n", "digest", "h", F.col("best.page_id").alias("response"), (~is_best).alias("revisit"), F.lit(None).cast("binary").alias("html"), F.lit(0).alias("step"))
+    own = rows.select("page_id", "url", "n", "digest", "h", F.lit(None).cast("bigint").alias("response"), F.lit(None).cast("boolean").alias("revisit"), "html", F.lit(1).alias("step"))
     place, count = borders(rows.select("page_id", "n"), shard_bytes)
-    sent = place(chosen).repartition(count, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "digest", F.coalesce("url", F.lit("")))
+    order = ("shard", F.col("page_id").asc_nulls_first(), "digest", F.coalesce("url", F.lit("")), "step")
+    sent = place(own.unionByName(told)).repartitionById(count, F.col("shard")).sortWithinPartitions(*order)
     sent.mapInArrow(_writer(out, roll), FILES).write.mode("overwrite").parquet(f"{out}/_manifest")
     commit(spark, out)
 
