@@ -114,3 +114,16 @@ def leftmost_mode(df: DataFrame, by: list[str], value: str, into: str = "mode")
     """For each group the most frequent value; of equally frequent ones the least."""
     counts = df.groupBy(*by, value).agg(F.count("*").alias("__n"))
     return counts.groupBy(*by).agg(F.min_by(value, F.struct((-F.col("__n")).alias("n"), value)).alias(into), F.max("__n").alias("n"))
+
+
+def labelled_slices(s: Column, labels: list[str]) -> Column:
+    """Map of label to the text up to the next label; of labels that begin alike the longest counts, later ones win."""
+    import re
+
+    any_label = "|".join(re.escape(x) for x in sorted(labels, key=len, reverse=True))
+    pattern = rf"({any_label})([\s\S]*?)(?=(?:{any_label})|$)"
+    keys = F.regexp_extract_all(s, F.lit(pattern), F.lit(1))
+    values = F.transform(F.regexp_extract_all(s, F.lit(pattern), F.lit(2)), lambda x: F.trim(x))
+    pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
+    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["k"] == x["k"]))
+    return F.map_from_entries(last)
