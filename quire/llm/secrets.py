@@ -53,7 +53,7 @@ EXAMPLES, LABELLED, LONGEST = 120, 200, 64
 #: Documents looked at for labelled matches and ordinary tokens (in expectation), and bytes of each text at most.
 SAMPLE_DOCS, SAMPLE_TEXT = 20_000, 1 << 18
 #: Merge test, and nats per symbol by which a secret must be likelier than an ordinary token.
-ALPHA, MARGIN = 0.05, 1.3
+ALPHA, MARGIN = 0.05, 0.5
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -189,13 +189,33 @@ def examples(seed: int = 7) -> dict[str, list[str]]:
     return {k: [p + "".join(pick.choice(abc) for _ in range(n)) for _ in range(EXAMPLES)] for k, (p, abc, n) in FORMATS.items()}
 
 
+def ordinary_examples(seed: int = 8) -> list[str]:
+    """Made-up tokens that are no secrets: identifiers, slugs, dates, numbers, versions."""
+    pick = random.Random(seed)
+    letter = lambda: pick.choice("eeeettaaoinshrdlucmfwypbgk")
+    word = lambda: "".join(letter() for _ in range(pick.randrange(2, 9)))
+    number = lambda: "".join(pick.choice("0123456789") for _ in range(pick.randrange(1, 7)))
+    makes = (
+        lambda: pick.choice("-_/+=").join([word() for _ in range(4)] + [number()]),
+        lambda: "".join(word().capitalize() for _ in range(4)) + number(),
+        lambda: f"{pick.randrange(1990, 2030)}-{pick.randrange(10, 13)}-{pick.randrange(10, 29)}T{pick.randrange(10, 24)}-{pick.randrange(10, 60)}-{pick.randrange(10, 60)}Z",
+        lambda: number() + number() + number() + number(),
+        lambda: word().upper() + "_" + word().upper() + "_" + number() + "_" + word().upper(),
+        lambda: word() * 3 + number(),
+    )
+    return [makes[i % len(makes)]() for i in range(60 * len(makes))]
+
+
 class Formats:
     """The learned automata and their background."""
 
     def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]):
         self.prefixes = tuple(p for p, _, _ in FORMATS.values() if p)
         self.automata = {k: Automaton([symbols(s, self.prefixes) for s in own]) for k, own in sorted(labelled.items()) if own}
-        self.background = Background([symbols(s, self.prefixes) for s in ordinary])
+        made = ordinary_examples()
+        self.background = Background([symbols(s, self.prefixes) for s in made])
+        # secrets among the tokens of the corpus must not make the background
+        self.background = Background([symbols(s, self.prefixes) for s in [*made, *(t for t in ordinary if not self.secret(t))]])
 
     def score(self, token: str) -> float:
         s = symbols(token, self.prefixes)
