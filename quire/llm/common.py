@@ -34,6 +34,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes that go to Python at once.
+BATCH_BYTES = 4 << 20
+
+
+def by_batches(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow in batches of BATCH_BYTES or a single row: Python's and Arrow's memory stay small beside the heap."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """A string column's values as UTF-8, without decoding."""
     if isinstance(column, pa.ChunkedArray):
@@ -69,18 +79,26 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def few_heavy(sizes: DataFrame, key: str, count: str, share: int = 500) -> DataFrame:
-    """Keys with at least a share-th of all rows: share of them at most, whatever the data, so they may be broadcast."""
-    total = sizes.agg(F.coalesce(F.sum(count), F.lit(0)).alias("__total"))
-    return sizes.crossJoin(F.broadcast(total)).filter((F.col(count) * share >= F.col("__total")) & (F.col(count) > 1)).drop("__total")
+def heavy_keys(sizes: DataFrame, key: str, count: str, share: int = 500) -> list:
+    """Keys with at least a share-th of all rows: share of them at most, whatever the data, so they may be gathered and broadcast."""
+    total = sizes.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    return [r[0] for r in sizes.filter((F.col(count) * share >= F.lit(total)) & (F.col(count) > SPREAD_FROM) & F.col(key).isNotNull()).select(key).collect()]
+
+
+#: Rows of one key that a task may well hold, however small the table.
+SPREAD_FROM = 200
 
 
-def lookup(rows: DataFrame, small: DataFrame, key: str, count: str, share: int = 500) -> DataFrame:
+def lookup(rows: DataFrame, small: DataFrame, key: str, count: str, share: int = 500, sizes: DataFrame | None = None) -> DataFrame:
     """rows left-joined to small (one row per key, count is how many rows have it), hot keys by broadcast.
 
     A key with over 1/share of all rows never meets in one task: those keys, share at most, are
-    broadcast; the others go through an ordinary shuffled join.
+    broadcast; the others go through an ordinary shuffled join. sizes: (key, count) where that is
+    cheaper to read than small.
     """
-    hot = F.broadcast(few_heavy(small, key, count, share))
-    rest = rows.join(hot.select(key), key, "left_anti").join(small, key, "left")
-    return rows.join(hot, key, "inner").unionByName(rest)
+    hot = heavy_keys(small if sizes is None else sizes, key, count, share)
+    if not hot:
+        return rows.join(small, key, "left")
+    keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], small.select(key).schema))
+    rest = rows.join(keys, key, "left_anti").join(small, key, "left")
+    return rows.join(F.broadcast(small.join(keys, key, "left_semi")), key, "inner").unionByName(rest)

@@ -16,11 +16,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import as_bytes, runs, sha_hex, slices
+from quire.llm.common import as_bytes, by_batches, runs, sha_hex, slices
 
 #: Bytes that belong to words once A-Z are lower-cased; all others become blanks.
 WORD_BYTES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -204,11 +205,16 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def find(docs: DataFrame, bench: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, into: str = "__hits") -> DataFrame:
+def automata(spark: SparkSession, bench: DataFrame, item_id: str, item_text: str, window: int) -> Iterator[Broadcast]:
+    """An automaton for each block of items, broadcast: BLOCK_WORDS bounds its size."""
+    for block in blocks_of(bench, item_id, item_text, window):
+        yield spark.sparkContext.broadcast(Automaton(block, window))
+
+
+def find(docs: DataFrame, bench: DataFrame | list[Broadcast], *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, into: str = "__hits") -> DataFrame:
     """docs with a struct column into: n_words, starts and ends of hit ranges of words, items (sorted ids).
 
-    The automaton of a block of items is broadcast (BLOCK_WORDS bounds it). With one block nothing is
-    shuffled. With more, each block gives rows only for texts with hits, which meet by the text's digest.
+    bench: the items, or their automata. With one block nothing is shuffled. With more, each block gives rows only for texts with hits, which meet by the text's digest.
     """
     spark, at = docs.sparkSession, docs.columns.index(text_col)
     schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string(_HITS.format(f"`{into}`")).fields])
@@ -226,8 +232,8 @@ def find(docs: DataFrame, bench: DataFrame, *, text_col: str = "text", item_id:
         return run
 
     made = []
-    for block in blocks_of(bench, item_id, item_text, window):
-        made.append(docs.mapInArrow(scanned(spark.sparkContext.broadcast(Automaton(block, window))), schema))
+    for shared in automata(spark, bench, item_id, item_text, window) if isinstance(bench, DataFrame) else bench:
+        made.append(by_batches(docs, scanned(shared), schema))
     if len(made) == 1:
         return made[0]
     digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("__digest")
@@ -279,35 +285,45 @@ def _without(text: bytes, starts: list[int], ends: list[int]) -> bytes:
     return b"".join(out)
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, *, window: int = 10, max_coverage: float = 0.5, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+def decontaminate(docs: DataFrame, bench: DataFrame, *, window: int = 10, max_coverage: float = 0.5, text_col: str = "text", count_col: str | None = None, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs without hit spans; a document of whose words more than max_coverage are hit goes altogether.
 
     count_col, if given, is set to the new text's number of code points where the text changed.
     """
-    at = docs.columns.index(text_col)
-    found = find(docs, bench, window=window, text_col=text_col)
-    names, last = docs.columns, len(docs.columns)
+    at, names = docs.columns.index(text_col), docs.columns
+    counted = names.index(count_col) if count_col is not None else None
+    shared = list(automata(docs.sparkSession, bench, item_id, item_text, window))
+
+    def cleaned(batch: pa.RecordBatch, hits: Iterator[tuple[int, list[int], list[int]]]) -> pa.RecordBatch:
+        texts, keep, changed = as_bytes(batch.column(at)), [], {}
+        for i, (n, starts, ends) in enumerate(hits):
+            hit = sum(ends) - sum(starts)
+            keep.append(hit <= max_coverage * n)
+            if hit and keep[-1]:
+                changed[i] = texts[i] = _without(texts[i], starts, ends)
+        columns = batch.columns[: len(names)]
+        if changed:
+            columns[at] = pa.array(texts, pa.binary()).cast(batch.schema.field(at).type)
+            if counted is not None:
+                old = columns[counted].to_pylist()
+                for i, t in changed.items():
+                    old[i] = len(t.decode())
+                columns[counted] = pa.array(old, batch.schema.field(counted).type)
+        return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
+
+    def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = ((n, _merged(s)) for n, s, _ in one.value.scan(as_bytes(batch.column(at))))
+            yield cleaned(batch, ((n, [x for x, _ in s], [y for _, y in s]) for n, s in spans))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def afterwards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, keep, changed = as_bytes(batch.column(at)), [], {}
-            for i, h in enumerate(batch.column(last).to_pylist()):
-                hit = sum(h["ends"]) - sum(h["starts"])
-                keep.append(hit <= max_coverage * h["n_words"])
-                if hit and keep[-1]:
-                    changed[i] = texts[i] = _without(texts[i], h["starts"], h["ends"])
-            columns = batch.columns[:last]
-            if changed:
-                columns[at] = pa.array(texts, pa.binary()).cast(batch.schema.field(at).type)
-                if count_col is not None:
-                    c = names.index(count_col)
-                    old = columns[c].to_pylist()
-                    for i, t in changed.items():
-                        old[i] = len(t.decode())
-                    columns[c] = pa.array(old, batch.schema.field(c).type)
-            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
-
-    return found.mapInArrow(run, docs.schema)
+            yield cleaned(batch, ((h["n_words"], h["starts"], h["ends"]) for h in batch.column(len(names)).to_pylist()))
+
+    if len(shared) == 1:
+        one = shared[0]
+        return by_batches(docs, at_once, docs.schema)
+    return by_batches(find(docs, shared, window=window, text_col=text_col), afterwards, docs.schema)
 
 
 def items_digest(items: list[str]) -> str:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, lookup
+from quire.llm.common import by_batches, cut, lookup
 
 #: Links that one task joins up in memory.
 BLOCK = 400_000
@@ -69,7 +69,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 64, b
     before = None
     for _ in range(rounds):
         blocks = -(-now.count() // block)
-        local = now.coalesce(max(1, blocks)).mapInArrow(_contracted(2 * block), "u bigint, v bigint")
+        local = by_batches(now.coalesce(max(1, blocks)), _contracted(2 * block), "u bigint, v bigint")
         if blocks <= 1:
             return local.select(F.col("u").alias("node"), F.col("v").alias("root"))
         local = local.filter("u != v")

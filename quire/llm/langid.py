@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, crc_bucket, slices
+from quire.llm.common import as_bytes, by_batches, crc_bucket, slices
 
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 #: Context bytes at most.
 ORDER = 3
 #: Bytes of text to learn from, for each language and for all together, and the longest text among them.
-SAMPLE_BYTES, SAMPLE_ALL, SAMPLE_TEXT = 3 << 20, 24 << 20, 1 << 18
+SAMPLE_BYTES, SAMPLE_ALL, SAMPLE_TEXT = 1 << 20, 12 << 20, 1 << 18
 #: Languages at most, and entries of the table of code lengths.
 LANGUAGES, ENTRIES = 500, 24_000_000
 BREAK = b" " * ORDER
@@ -176,7 +176,7 @@ def predict(docs: DataFrame, trees: Trees, *, text_col: str = "text") -> DataFra
             made = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
             yield pa.RecordBatch.from_arrays([made, *batch.columns], ["__lang", *batch.schema.names])
 
-    return docs.mapInArrow(run, schema)
+    return by_batches(docs, run, schema)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, crc_bucket, slices
+from quire.llm.common import as_bytes, by_batches, crc_bucket, slices
 
 WIDTH, FILTERS, CHUNK = 5, 16, 256
 HALF = CHUNK // 2
@@ -190,7 +190,7 @@ def scored(docs: DataFrame, net: Network | Constant, *, text_col: str = "text",
             got = shared.value.score(as_bytes(batch.column(at)))
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.float64()), *batch.columns], [into, *batch.schema.names])
 
-    return docs.mapInArrow(run, schema)
+    return by_batches(docs, run, schema)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -114,7 +114,7 @@ def judged(rows: DataFrame, *, lang: str = "lang", source: str = "source") -> Da
     names = [f"{m}_{end}" for m in MEASURES for end in ("low", "high")]
     small = counts.join(own, "g", "left").withColumn("a", F.lit(1)).join(whole.select("a", *[F.col(n).alias(f"all_{n}") for n in names]), "a", "left")
     small = small.select("g", "__n", *[F.when(F.col("docs") >= LEAST, F.col(n)).otherwise(F.col(f"all_{n}")).alias(n) for n in names])
-    at = lookup(rows, small, "g", "__n")
+    at = lookup(rows, small, "g", "__n", sizes=counts)
     ok = F.lit(True)
     for m, (_, _, _, low) in MEASURES.items():
         ok = ok & (value(m) <= F.col(f"{m}_high"))

@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import as_bytes
+from quire.llm.common import as_bytes, by_batches
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -277,15 +278,15 @@ def learn(docs: DataFrame, *, text_col: str = "text", given: dict[str, list[str]
                         tokens.append(m[0])
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([t[:LONGEST] for t in tokens], pa.string())], ["kind", "token"])
 
-    found = chosen.mapInArrow(run, "kind string, token string").distinct()
+    found = by_batches(chosen, run, "kind string, token string").distinct()
+    rank = F.row_number().over(W.partitionBy("kind").orderBy(F.xxhash64("token"), "token"))
+    most = F.when(F.col("kind") == "ordinary", 10 * LABELLED).otherwise(LABELLED)
     labelled, ordinary = dict(given if given is not None else examples()), []
-    for kind in (*KINDS, "ordinary"):
-        most = LABELLED if kind != "ordinary" else 10 * LABELLED
-        own = [r.token for r in found.filter(F.col("kind") == kind).orderBy(F.xxhash64("token"), "token").limit(most).collect()]
+    for kind, token in sorted(found.select("kind", "token", rank.alias("k")).filter(F.col("k") <= most).select("kind", "token").collect()):
         if kind == "ordinary":
-            ordinary = own
-        elif own:
-            labelled[kind] = own
+            ordinary.append(token)
+        else:
+            labelled.setdefault(kind, []).append(token)
     return Formats(labelled, ordinary)
 
 
@@ -326,7 +327,7 @@ def scanned(docs: DataFrame, formats: Formats | None, *, text_col: str = "text",
                     columns[counted] = pa.array(old, batch.schema.field(counted).type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(run, docs.schema if redact is not None else T.StructType([*made.fields, *docs.schema.fields]))
+    return by_batches(docs, run, docs.schema if redact is not None else T.StructType([*made.fields, *docs.schema.fields]))
 
 
 def report(docs: DataFrame) -> DataFrame:

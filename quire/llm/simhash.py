@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, cut, lookup, slices
+from quire.llm.common import as_bytes, by_batches, cut, lookup, slices
 from quire.llm.graph import components
 
 CELL = 8192
@@ -88,7 +88,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             fp = pa.array(_fingerprints(as_bytes(batch.column(2)), shingle).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fp], ["i", "sig", "fp"])
 
-    return chosen.mapInArrow(run, f"i {chosen.schema[0].dataType.simpleString()}, sig bigint, fp bigint").withColumnRenamed("i", id_col)
+    return by_batches(chosen, run, f"i {chosen.schema[0].dataType.simpleString()}, sig bigint, fp bigint").withColumnRenamed("i", id_col)
 
 
 def embed(fp):
@@ -199,7 +199,7 @@ def _cells(most: int, limit: int | None):
 def _meet(points: DataFrame, base, chosen: list[int], most: int, limit: int | None) -> DataFrame:
     cells = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), base.bitwiseAND(F.lit(m)).alias("c")) for j, m in enumerate(chosen)])).alias("cell")
     met = points.select("fp", cells).select("cell.j", "cell.c", "fp")
-    return met.repartition("j", "c").sortWithinPartitions("j", "c").mapInArrow(_cells(most, limit), "a bigint, b bigint")
+    return by_batches(met.repartition("j", "c").sortWithinPartitions("j", "c"), _cells(most, limit), "a bigint, b bigint")
 
 
 def grouping(n: int) -> list[int]:
@@ -227,7 +227,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     least = star.groupBy("root").agg(F.min("__first").alias("__least"), F.count("*").alias("__n"))
     star = lookup(star, least, "root", "__n").select("fp", "__least")
     small = points.join(star, "fp", "left").select("fp", F.coalesce("__least", "__first").alias("component_id"), "__n")
-    return lookup(of, small, "fp", "__n").select(id_col, "sig", "fp", "component_id")
+    return lookup(of, small, "fp", "__n", sizes=points).select(id_col, "sig", "fp", "component_id")
 
 
 def report(docs: DataFrame) -> DataFrame:

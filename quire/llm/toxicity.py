@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, crc_bucket
+from quire.llm.common import as_bytes, by_batches, crc_bucket
 
 #: Letters of other scripts that look like Latin ones, fixed values.
 HOMOGLYPHS = {
@@ -191,7 +191,7 @@ def scored(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", into: s
             got = [shared.value.score(t) for t in as_bytes(batch.column(at))]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.float64()), *batch.columns], [into, *batch.schema.names])
 
-    return docs.mapInArrow(run, schema)
+    return by_batches(docs, run, schema)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import lookup, shared_dir
+from quire.llm.common import by_batches, cut, lookup, shared_dir
 
 #: Raw bytes of a shard at least; shards at most; ids' histogram bars at each of two levels.
 SHARD_BYTES, SHARDS, BARS = 32 << 20, 50_000, 4096
@@ -181,6 +181,7 @@ def write(pages: DataFrame, out: str, *, id_col: str = "page_id", url_col: str =
     rows = rows.select("*", F.octet_length("html").cast("bigint").alias("n"), F.sha1("html").alias("digest"), F.xxhash64("page_id", "url", "html").alias("h"))
     # struct order puts null ids first, so the largest id wins; of equal ids, the greater address
     best = rows.filter(F.col("n") >= min_revisit).groupBy("digest").agg(F.max(F.struct("page_id", F.coalesce("url", F.lit("")).alias("u"))).alias("best"), F.count("*").alias("many")).filter("many > 1")
+    best = cut(best)
     # what is told of rows with copies goes to their shard without the payload, ahead of the row itself
     told = lookup(rows.select("page_id", "url", "n", "digest", "h"), best, "digest", "many").filter("best is not null")
     is_best = F.col("best.page_id").eqNullSafe(F.col("page_id")) & (F.col("best.u") == F.coalesce("url", F.lit("")))
@@ -189,7 +190,7 @@ def write(pages: DataFrame, out: str, *, id_col: str = "page_id", url_col: str =
     place, count = borders(rows.select("page_id", "n"), shard_bytes)
     order = ("shard", F.col("page_id").asc_nulls_first(), "digest", F.coalesce("url", F.lit("")), "step")
     sent = place(own.unionByName(told)).repartitionById(count, F.col("shard")).sortWithinPartitions(*order)
-    sent.mapInArrow(_writer(out, roll), FILES).write.mode("overwrite").parquet(f"{out}/_manifest")
+    by_batches(sent, _writer(out, roll), FILES).write.mode("overwrite").parquet(f"{out}/_manifest")
     commit(spark, out)
 
 
@@ -206,7 +207,7 @@ def commit(spark: SparkSession, out: str) -> None:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["records", "bytes"])
 
     files = spark.read.schema(FILES).parquet(f"{out}/_manifest")
-    n, records, size = files.select("records", "bytes", "name", "temp").mapInArrow(move, "records bigint, bytes bigint").agg(F.count("*"), F.sum("records"), F.sum("bytes")).first()
+    n, records, size = by_batches(files.select("records", "bytes", "name", "temp"), move, "records bigint, bytes bigint").agg(F.count("*"), F.sum("records"), F.sum("bytes")).first()
     fs, base = filesystem(out)
     if fs.get_file_info(f"{base}/_temporary").type != pafs.FileType.NotFound:
         fs.delete_dir(f"{base}/_temporary")
@@ -279,7 +280,7 @@ def read(spark: SparkSession, out: str, *, payloads: bool = False) -> DataFrame:
 
     files = spark.read.schema(FILES).parquet(f"{out}/_manifest").select("name")
     n = files.count()
-    return files.repartition(max(1, min(n, 20_000))).mapInArrow(run, READ + (", html string" if payloads else ""))
+    return by_batches(files.repartition(max(1, min(n, 20_000))), run, READ + (", html string" if payloads else ""))
 
 
 def report(spark: SparkSession, pages: DataFrame) -> DataFrame:
