@@ -36,7 +36,7 @@ NODE_TYPES = {"heading": "section", "paragraph": "paragraph", "bullet": "item",
 
 
 BODY = {"paragraph", "bullet", "step", "definition"}
-FOLDED = "page int, block int, kind string, role string, column int, region string, level int, text string, lines int, y0 double, y1 double, x0 double, x1 double"
+FOLDED = "page int, block int, seq int, kind string, role string, column int, region string, level int, text string, md string, lines int, y0 double, y1 double, x0 double, x1 double"
 
 
 def fold_page(lines: Iterable[dict], *, block_gap: float = 6.0, indent: float = 4.0) -> list[dict]:
@@ -54,12 +54,14 @@ def fold_page(lines: Iterable[dict], *, block_gap: float = 6.0, indent: float =
         open_ = out[-1] if out else None
         if open_ is not None and last is not None and _goes_on(open_, last, line, kind, block_gap, indent):
             glue = "" if last["text"].rstrip().endswith("­") else " "
-            open_["text"] = (open_["text"].rstrip().rstrip("­") if not glue else open_["text"]) + glue + line["text"]
+            for key in ("text", "md"):
+                if key in open_:
+                    open_[key] = (open_[key].rstrip().rstrip("­") if not glue else open_[key]) + glue + (line.get(key) or line["text"])
             open_["lines"] += 1
             open_["y1"] = max(open_["y1"], line["y"])
             open_["x0"], open_["x1"] = min(open_["x0"], line["x0"]), max(open_["x1"], line["x1"])
         else:
-            out.append({"kind": kind, "role": line["role"], "column": line["column"], "region": line["region"], "level": line.get("level"), "text": line["text"], "lines": 1, "y0": line["y"] - line["size"], "y1": line["y"], "x0": line["x0"], "x1": line["x1"]})
+            out.append({"seq": line["seq"], "kind": kind, "role": line["role"], "column": line["column"], "region": line["region"], "level": line.get("level"), "text": line["text"], "md": line.get("md") or line["text"], "lines": 1, "y0": line["y"] - line["size"], "y1": line["y"], "x0": line["x0"], "x1": line["x1"]})
         last = line
     return out
 

@@ -29,6 +29,9 @@ class Layout:
     superscript_rise: float = 5.0
     band_gap: float = 40.0
     word_gap: float = 0.9
+    strong_em: tuple[str, ...] = ("body.bold-italic",)
+    strong: tuple[str, ...] = ("body.bold",)
+    em: tuple[str, ...] = ("body.italic",)
 
 
 def with_roles(spans: DataFrame, rules: DataFrame, layout: Layout) -> DataFrame:
@@ -82,6 +85,31 @@ def line_text(parts: Column, word_gap: float) -> Column:
     return F.aggregate(parts, F.struct(F.lit("").alias("out"), F.lit(0.0).alias("end")), step, lambda acc: acc["out"])
 
 
+def emphasis(role: Column, layout: Layout) -> Column:
+    """The Markdown mark of a role: the first set that has it counts."""
+    return F.when(role.isin(*layout.strong_em), "***").when(role.isin(*layout.strong), "**").when(role.isin(*layout.em), "*").otherwise("")
+
+
+def line_markdown(parts: Column, layout: Layout) -> Column:
+    """Spans of a line as Markdown: runs of one emphasis are marked together, blanks stay outside the marks."""
+
+    def closed(acc):
+        bare = F.trim(acc["run"])
+        lead = F.regexp_extract(acc["run"], r"^(\s*)", 1)
+        tail = F.regexp_extract(acc["run"], r"(\s*)$", 1)
+        return F.concat(acc["out"], F.when((acc["mark"] == "") | (bare == ""), acc["run"]).otherwise(F.concat(lead, acc["mark"], bare, acc["mark"], tail)))
+
+    def step(acc, p):
+        mark = emphasis(F.coalesce(p["role"], F.lit("")), layout)
+        gap = (p["x"] - acc["end"] > layout.word_gap) & (acc["end"] >= 0) & ~acc["run"].rlike("[\\s­]$") & ~p["t"].rlike("^\\s")
+        text = F.concat(F.when(gap, " ").otherwise(""), p["t"])
+        end = F.coalesce(p["x1"], p["x"]).cast("double")
+        return F.when(mark == acc["mark"], F.struct(acc["out"].alias("out"), acc["mark"].alias("mark"), F.concat(acc["run"], text).alias("run"), end.alias("end"))).otherwise(F.struct(closed(acc).alias("out"), mark.alias("mark"), text.alias("run"), end.alias("end")))
+
+    start = F.struct(F.lit("").alias("out"), F.lit("").alias("mark"), F.lit("").alias("run"), F.lit(-1.0).alias("end"))
+    return F.trim(F.regexp_replace(F.aggregate(parts, start, step, closed), r"\s+", " "))
+
+
 def lines(of: DataFrame, layout: Layout) -> DataFrame:
     """Spans on one baseline of a region and column as a line; halves near each other and superscripts are merged into theirs.
 
@@ -95,7 +123,7 @@ def lines(of: DataFrame, layout: Layout) -> DataFrame:
     spread = got.select("page", "region", "column", "tenth", F.explode("parts").alias("p"))
     weight = spread.groupBy("page", "region", "column", "tenth", F.col("p.role").alias("role")).agg(F.sum(F.length("p.t")).alias("w"), F.min(F.struct("p.x", "p.pos")).alias("first"), F.first("p.level").alias("level"))
     role = weight.groupBy("page", "region", "column", "tenth").agg(F.min_by(F.struct("role", "level"), F.struct((-F.col("w")).alias("w"), "first")).alias("r"))
-    return got.join(role, ["page", "region", "column", "tenth"]).select("page", F.nullif("region", F.lit("")).alias("region"), "column", "y", "x0", "x1", "size", "r.role", "r.level", line_text(F.col("parts"), layout.word_gap).alias("text"), "parts")
+    return got.join(role, ["page", "region", "column", "tenth"]).select("page", F.nullif("region", F.lit("")).alias("region"), "column", "y", "x0", "x1", "size", "r.role", "r.level", line_text(F.col("parts"), layout.word_gap).alias("text"), line_markdown(F.col("parts"), layout).alias("md"), "parts")
 
 
 def _halves(got: DataFrame, layout: Layout) -> DataFrame:
