@@ -63,3 +63,36 @@ def markdown(nodes: DataFrame, by: str) -> DataFrame:
     out = out.otherwise(text)
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", out.alias("t")))), lambda x: x["t"]), "\n\n")
     return nodes.groupBy(by).agg(F.concat(F.trim(F.regexp_replace(joined, "\n{3,}", "\n\n")), F.lit("\n")).alias("text"))
+
+
+#: Entries beyond which a section's entries get pages of their own.
+SPLIT = 40
+
+
+def site_pages(walked: DataFrame, most: int = SPLIT) -> DataFrame:
+    """(kind, node_id): a page for each chapter without sections and for each section; sections with more than most entries become an index and a page for each entry.
+
+    walked: nodes with type and parent_id.
+    """
+    chapters, sections, entries = (walked.filter(F.col("type") == t).select("node_id", "parent_id") for t in ("chapter", "section", "entry"))
+    counts = entries.groupBy(F.col("parent_id").alias("s")).agg(F.count("*").alias("n"))
+    sized = sections.join(counts, F.col("node_id") == F.col("s"), "left").select("node_id", (F.coalesce("n", F.lit(0)) > most).alias("split"))
+    bare = chapters.join(sections.select(F.col("parent_id").alias("c")).distinct(), F.col("node_id") == F.col("c"), "left_anti").select(F.lit("chapter").alias("kind"), "node_id")
+    own = sized.select(F.when(F.col("split"), "index").otherwise("section").alias("kind"), "node_id")
+    single = entries.join(sized.filter("split").select(F.col("node_id").alias("s")), F.col("parent_id") == F.col("s"), "left_semi").select(F.lit("entry").alias("kind"), "node_id")
+    return bare.unionByName(own).unionByName(single)
+
+
+def first_below(walked: DataFrame, condition: Column, take: list[str]) -> DataFrame:
+    """(ancestor, take): for each title on a path the first node in document order below it for which the condition holds."""
+    at = walked.filter(condition).select("pos", *take, F.explode(F.array_distinct("path")).alias("ancestor"))
+    return at.groupBy("ancestor").agg(F.min_by(F.struct(*take), F.struct("pos", *take)).alias("f")).select("ancestor", *[F.col(f"f.{c}").alias(c) for c in take])
+
+
+def enumerated(groups: list[tuple[str, Column]]) -> Column:
+    """Elements of several arrays of (md) structs as one array of (part, no, md), groups in the order given, nulls as none."""
+
+    def numbered(part: str, blocks: Column) -> Column:
+        return F.transform(F.coalesce(blocks, F.array().cast("array<struct<md: string>>")), lambda b, i: F.struct(F.lit(part).alias("part"), (i + 1).alias("no"), b["md"].alias("md")))
+
+    return F.flatten(F.array(*[numbered(p, c) for p, c in groups]))

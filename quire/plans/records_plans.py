@@ -184,3 +184,34 @@ def block_classify(spark, sf_dir):
 
     lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
     return lines.groupBy(line_kind(F.col("line")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@plans.add("""WITH n AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1), s AS (SELECT n_nationkey, coalesce(n, 0) > 40 AS split FROM nation LEFT JOIN n ON c_nationkey = n_nationkey)
+    SELECT CASE WHEN split THEN 'index' ELSE 'section' END AS kind, 'n' || n_nationkey AS node_id FROM s UNION ALL SELECT 'entry', 'c' || c_custkey FROM customer JOIN s ON c_nationkey = n_nationkey WHERE split
+    UNION ALL SELECT 'chapter', 'r' || r_regionkey FROM region WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_regionkey = r_regionkey)""")
+def site_pages(spark, sf_dir):
+    kinds = F.create_map(*[F.lit(x) for x in ("region", "chapter", "nation", "section", "customer", "entry")])
+    return T.site_pages(places(spark, sf_dir).withColumn("type", F.try_element_at(kinds, F.col("type"))))
+
+
+@plans.add("""SELECT n_name AS ancestor, min(c_custkey) AS pos FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1 UNION ALL SELECT r_name, min(c_custkey) FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1
+    UNION ALL SELECT 'world', min(c_custkey) FROM customer""")
+def first_descendant(spark, sf_dir):
+    walked = T.walk(spark, places(spark, sf_dir)).withColumn("place", F.col("pos"))
+    return T.first_below(walked, F.col("type") == "customer", ["place"]).withColumnRenamed("place", "pos")
+
+
+@plans.add("""SELECT conv_id, part, no, md FROM (SELECT conv_id, 'asked' AS part, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS no, text AS md FROM conversations WHERE role = 'user'
+    UNION ALL SELECT conv_id, 'told', row_number() OVER (PARTITION BY conv_id ORDER BY turn, role), text FROM conversations WHERE role <> 'user')""")
+def block_enumeration(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    part = lambda cond: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("turn", "role", "text")))), lambda x: F.struct(x["text"].alias("md")))
+    got = c.groupBy("conv_id").agg(part(F.col("role") == "user").alias("a"), part(F.col("role") != "user").alias("b"))
+    each = F.explode(T.enumerated([("asked", F.col("a")), ("told", F.col("b"))])).alias("x")
+    return got.select("conv_id", each).select("conv_id", "x.part", F.col("x.no").cast("bigint").alias("no"), "x.md")
+
+
+@plans.add("""SELECT p_partkey, '{"id":"part.' || p_partkey || '"' || CASE WHEN p_size > 25 THEN ',"size":' || p_size ELSE '' END || ',"page":' || p_size || '}' AS entry FROM part""")
+def index_projection(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("part."), F.col("p_partkey").cast("string")).alias("id"), F.when(F.col("p_size") > 25, F.col("p_size")).alias("size"), F.col("p_size").alias("page"))
+    return rows.select("p_partkey", F.to_json(F.struct("id", "size", "page"), {"ignoreNullFields": "true"}).alias("entry"))
