@@ -165,13 +165,11 @@ def reading_order(of: DataFrame, layout: Layout) -> DataFrame:
     at = of.withColumn("opens", wide & (F.lag("y").over(w).isNull() | (F.col("y") - F.lag("y").over(w) > layout.band_gap)))
     at = at.withColumn("band", F.when(wide, F.sum(F.col("opens").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))))
     # other lines come after the bands that end above them
-    ends = F.max(F.when(wide, F.col("band"))).over(W.partitionBy("page").orderBy("y").rangeBetween(W.unboundedPreceding, 0))
     last = at.filter("band is not null").groupBy("page", "band").agg(F.max("y").alias("bottom")).withColumnRenamed("band", "b")
     slots = at.join(last.groupBy("page").agg(F.array_sort(F.collect_list("bottom")).alias("bottoms")), "page", "left")
     before = F.size(F.filter(F.coalesce("bottoms", F.array().cast("array<double>")), lambda b: b < F.col("y")))
     slot = F.when(F.col("band").isNotNull(), F.col("band") * 2 - 1).otherwise(before * 2)
     ordered = W.partitionBy("page").orderBy(slot, F.when(F.col("band").isNull(), F.col("column")), "y", "x0")
-    del ends
     return slots.withColumn("seq", F.row_number().over(ordered) - 1).drop("opens", "bottoms")
 
 
