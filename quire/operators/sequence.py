@@ -53,11 +53,20 @@ def split_threshold(gaps: Column) -> Column:
     Gaps over a half, rounded to a tenth and sorted, those of at least half the greatest kept; the cut
     lies in the middle of the greatest jump in ratio if that is 1.15 or more, else one below the least.
     """
-    kept = F.array_sort(F.transform(F.filter(gaps, lambda g: g > 0.5), lambda g: F.bround(g, 1)))
-    kept = F.filter(kept, lambda g: g * 2 >= F.array_max(kept))
-    steps = F.transform(F.sequence(F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1))), lambda i: F.struct((F.get(kept, i) / F.get(kept, i - 1)).alias("r"), (-i).alias("o"), ((F.get(kept, i) + F.get(kept, i - 1)) / 2).alias("m")))
-    best = F.array_max(steps)
-    return F.when(F.size(kept) == 0, 0.0).when((F.size(kept) > 1) & (best["r"] >= 1.15), best["m"]).otherwise(F.get(kept, F.lit(0)) - 1)
+    sorted_gaps = F.array_sort(F.transform(F.filter(gaps, lambda g: g > 0.5), lambda g: F.bround(g, 1)))
+
+    def cut(kept: Column) -> Column:
+        steps = F.transform(F.sequence(F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1))), lambda i: F.struct((F.get(kept, i) / F.get(kept, i - 1)).alias("r"), (-i).alias("o"), ((F.get(kept, i) + F.get(kept, i - 1)) / 2).alias("m")))
+        found = _let(F.array_max(steps), lambda best: F.when((F.size(kept) > 1) & (best["r"] >= 1.15), best["m"]).otherwise(F.get(kept, F.lit(0)) - 1))
+        return F.when(F.size(kept) == 0, 0.0).otherwise(found)
+
+    half = lambda all_: _let(F.array_max(all_), lambda most: F.filter(all_, lambda g: g * 2 >= most))
+    return _let(sorted_gaps, lambda all_: _let(half(all_), cut))
+
+
+def _let(value: Column, f) -> Column:
+    """f of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def fill_forward(df: DataFrame, by: list[str], order: list, value: Column, into: str) -> DataFrame:
