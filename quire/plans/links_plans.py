@@ -183,12 +183,14 @@ def snapshot_diff(spark, sf_dir):
 
 @plans.add("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def provenance_check(spark, sf_dir):
-    """Items found literally. The first five words of an item and of each place in a text meet by equality; then the whole is looked for."""
+    """Items found literally. Words 2 to 4 of an item of five words or more are whole words of a text that has it, and meet by equality; then the whole is looked for. Shorter items are looked for in every text."""
     b = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"))
-    b = b.select("*", F.split(F.col("item"), "\\s").alias("w")).select("item_id", "item", F.array_join(F.slice("w", 2, 3), " ").alias("key"))
+    b = b.select("*", F.split(F.col("item"), "\\s").alias("w")).select("item_id", "item", F.array_join(F.slice("w", 2, 3), " ").alias("key"), (F.size("w") < 5).alias("short"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.split("text", "\\s").alias("w"))
     keys = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 2, F.lit(1))), lambda i: F.array_join(F.slice("w", i, 3), " "))))
-    return docs.select("doc_id", "text", keys.alias("key")).join(b, "key").filter(F.col("text").contains(F.col("item"))).select("doc_id", "item_id").distinct()
+    long = docs.select("doc_id", "text", keys.alias("key")).join(b.filter(~F.col("short")), "key").filter(F.col("text").contains(F.col("item"))).select("doc_id", "item_id")
+    few = F.broadcast(b.filter("short").select("item_id", "item"))
+    return long.unionByName(docs.join(few, F.col("text").contains(F.col("item"))).select("doc_id", "item_id")).distinct()
 
 
 @plans.add("SELECT event_id FROM events WHERE event_type IN ('view', 'click') AND value >= 20 AND json_extract_string(props, '$.k') IS NOT NULL")
