@@ -49,6 +49,11 @@ FORMATS = {
     "sha1": ("", "0123456789abcdef", 40),
     "md5": ("", "0123456789abcdef", 32),
 }
+PREFIXES = tuple(p for p, _, _ in FORMATS.values() if p)
+PREFIX_BYTES = tuple(p.encode() for p in PREFIXES)
+#: Characters of a token at least; what stands between its signs.
+LEAST = 16
+PART = re.compile(r"[^/=]{16,}")
 #: Examples of each format, labelled matches of each kind, and symbols read of each at most.
 EXAMPLES, LABELLED, LONGEST = 120, 200, 64
 #: Documents looked at for labelled matches and ordinary tokens (in expectation), and bytes of each text at most.
@@ -72,6 +77,8 @@ def suspicious(text: bytes) -> bool:
     runs = text.translate(TOKEN_BYTES)
     if b"0" in runs and (any(b"0" in m[0] and b"a" in m[0] for m in TOKEN_RUN.finditer(runs))):
         return True
+    if any(p in text for p in PREFIX_BYTES):
+        return True
     low = text.lower()
     return b"AKIA" in text or any(w in low for w in WORDS) or b"h" * 32 in text.translate(HEX_BYTES)
 
@@ -80,7 +87,7 @@ def symbols(token: str, prefixes: tuple[str, ...]) -> list[str]:
     """A token's symbols; a known prefix is kept letter by letter."""
     head = next((p for p in prefixes if token.startswith(p)), "")
     kind = lambda c: "0" if c.isdigit() else "h" if c in "abcdef" else "l" if "g" <= c <= "z" else "H" if c in "ABCDEF" else "U" if "G" <= c <= "Z" else c
-    return [f"={c}" for c in head] + [kind(c) for c in token[len(head) : LONGEST]]
+    return [f"={c}" for c in head] + [kind(c) for c in token[len(head) :]]
 
 
 #: Characters that a symbol stands for, so that likelihoods of different symbols compare.
@@ -226,11 +233,51 @@ class Formats:
         return self.score(token) > MARGIN
 
 
-def candidates(text: str) -> Iterator[re.Match]:
+def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the tokens, less what base spans cover."""
     for m in TOKEN.finditer(text):
-        t = m[0]
-        if any(c.isdigit() for c in t) and any(c.isalpha() for c in t):
-            yield m
+        at = m.start()
+        for s, _, e in base:
+            if s < m.end() and at < e:
+                if s - at >= LEAST:
+                    yield at, s
+                at = e
+        if m.end() - at >= LEAST:
+            yield at, m.end()
+
+
+def parts(token: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of what a token may hold a secret in: from a known prefix on for its format's length, what stands between signs, and each LONGEST characters of it."""
+    for prefix, _, n in FORMATS.values():
+        at = token.find(prefix) if prefix else -1
+        while at >= 0:
+            if at + len(prefix) + n <= len(token):
+                yield at, at + len(prefix) + n
+            at = token.find(prefix, at + 1)
+    for m in PART.finditer(token):
+        if m.end() - m.start() <= LONGEST:
+            yield m.span()
+        else:
+            for at in range(m.start(), m.end() - LONGEST + 1):
+                yield at, at + LONGEST
+
+
+def found_in(token: str, formats: Formats) -> list[tuple[int, int]]:
+    """Parts that are secrets, those that touch as one; the whole token where it is one."""
+    if len(token) <= LONGEST and mixed(token) and formats.secret(token):
+        return [(0, len(token))]
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(x for x in parts(token) if mixed(token[x[0] : x[1]]) and formats.secret(token[x[0] : x[1]])):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def mixed(token: str) -> bool:
+    """Whether digits and letters are there; a known prefix does without."""
+    return any(c.isalpha() for c in token) and (any(c.isdigit() for c in token) or token.startswith(PREFIXES))
 
 
 def spans(text: bytes, formats: Formats | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -240,9 +287,8 @@ def spans(text: bytes, formats: Formats | None) -> tuple[list[tuple[int, int, in
     text = text.decode()
     base, more = base_spans(text), []
     if formats is not None:
-        for m in candidates(text):
-            if not any(s < m.end() and m.start() < e for s, _, e in base) and formats.secret(m[0]):
-                more.append((m.start(), 3, m.end()))
+        for s, e in candidates(text, base):
+            more += [(s + x, 3, s + y) for x, y in found_in(text[s:e], formats)]
     return base, more
 
 
