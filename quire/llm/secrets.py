@@ -54,9 +54,10 @@ PREFIX_BYTES = tuple(p.encode() for p in PREFIXES)
 #: Characters of a token at least; what stands between its signs.
 LEAST = 16
 PART = re.compile(r"[^/=]{16,}")
+TOKEN_IN = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 #: Examples of each format, labelled matches of each kind, and symbols read of each at most.
 EXAMPLES, LABELLED, LONGEST = 120, 200, 64
-#: Documents looked at for labelled matches and ordinary tokens (in expectation), and bytes of each text at most.
+#: Documents looked at for labelled matches (in expectation), and bytes of each text at most.
 SAMPLE_DOCS, SAMPLE_TEXT = 20_000, 1 << 18
 #: Merge test, and nats per symbol by which a secret must be likelier than an ordinary token.
 ALPHA, MARGIN = 0.05, 0.5
@@ -184,6 +185,11 @@ class Background:
                 self.pairs[a, b] += 1
                 self.ones[a] += 1
 
+    def add(self, pairs: dict[tuple[str, str], int]) -> None:
+        for (a, b), n in pairs.items():
+            self.pairs[a, b] += n
+            self.ones[a] += n
+
     def score(self, s: list[str]) -> float:
         out = 0.0
         for a, b in zip(["^", *s], s, strict=False):
@@ -217,13 +223,10 @@ def ordinary_examples(seed: int = 8) -> list[str]:
 class Formats:
     """The learned automata and their background."""
 
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]):
+    def __init__(self, labelled: dict[str, list[str]]):
         self.prefixes = tuple(p for p, _, _ in FORMATS.values() if p)
         self.automata = {k: Automaton([symbols(s, self.prefixes) for s in own]) for k, own in sorted(labelled.items()) if own}
-        made = ordinary_examples()
-        self.background = Background([symbols(s, self.prefixes) for s in made])
-        # secrets among the tokens of the corpus must not make the background
-        self.background = Background([symbols(s, self.prefixes) for s in [*made, *(t for t in ordinary if not self.secret(t))]])
+        self.background = Background([symbols(s, self.prefixes) for s in ordinary_examples()])
 
     def score(self, token: str) -> float:
         s = symbols(token, self.prefixes)
@@ -297,7 +300,7 @@ def _said(found: list[tuple[int, int, int]]) -> str:
 
 
 def learn(docs: DataFrame, *, text_col: str = "text", given: dict[str, list[str]] | None = None) -> Formats:
-    """Automata from given (or made-up) credentials and from matches in about SAMPLE_DOCS documents chosen by hash of the text."""
+    """Automata from given (or made-up) credentials and from matches in about SAMPLE_DOCS documents chosen by hash of the text; the background from all documents."""
     n = docs.count()
     share = int((1 << 30) * min(1.0, SAMPLE_DOCS / max(1, n)))
     chosen = docs.filter((F.octet_length(text_col) <= SAMPLE_TEXT) & (F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) < share)).select(F.col(text_col).alias("t"))
@@ -318,22 +321,45 @@ def learn(docs: DataFrame, *, text_col: str = "text", given: dict[str, list[str]
                     if k:
                         kinds.append(KINDS[k])
                         tokens.append(text[s:e])
-                for m in TOKEN.finditer(text):
-                    if not any(s < m.end() and m.start() < e for s, _, e in base):
-                        kinds.append("ordinary")
-                        tokens.append(m[0])
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([t[:LONGEST] for t in tokens], pa.string())], ["kind", "token"])
 
     found = by_batches(chosen, run, "kind string, token string").distinct()
     rank = F.row_number().over(W.partitionBy("kind").orderBy(F.xxhash64("token"), "token"))
-    most = F.when(F.col("kind") == "ordinary", 10 * LABELLED).otherwise(LABELLED)
-    labelled, ordinary = dict(given if given is not None else examples()), []
-    for kind, token in sorted(found.select("kind", "token", rank.alias("k")).filter(F.col("k") <= most).select("kind", "token").collect()):
-        if kind == "ordinary":
-            ordinary.append(token)
-        else:
-            labelled.setdefault(kind, []).append(token)
-    return Formats(labelled, ordinary)
+    labelled = dict(given if given is not None else examples())
+    for kind, token in sorted(found.select("kind", "token", rank.alias("k")).filter(F.col("k") <= LABELLED).select("kind", "token").collect()):
+        labelled.setdefault(kind, []).append(token)
+    formats = Formats(labelled)
+    counts = by_batches(docs.select(F.col(text_col).alias("t")), _ordinary(docs.sparkSession.sparkContext.broadcast(formats)), "a string, b string, n bigint")
+    # as many rows as there are pairs of symbols
+    formats.background.add({(r["a"], r["b"]): r["n"] for r in counts.groupBy("a", "b").agg(F.sum("n").alias("n")).collect()})
+    return formats
+
+
+def _ordinary(shared):
+    """Counts of neighbouring symbols in the tokens of texts; secrets among them don't count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        formats, known = shared.value, {}
+        for batch in batches:
+            pairs: Counter = Counter()
+            for t in as_bytes(batch.column(0)):
+                if not t or not TOKEN_IN.search(t):
+                    continue
+                text = t.decode()
+                base = base_spans(text) if suspicious(t) else []
+                for s, e in candidates(text, base):
+                    token = text[s:e]
+                    own = known.get(token)
+                    if own is None:
+                        if len(known) >= 1 << 12:
+                            known.clear()
+                        symbol = symbols(token, formats.prefixes)
+                        secret = formats.secret(token) or found_in(token, formats)
+                        own = known[token] = [] if secret else list(zip(["^", *symbol], symbol, strict=False))
+                    pairs.update(own)
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.string()), pa.array([b for _, b in pairs], pa.string()), pa.array(list(pairs.values()), pa.int64())], ["a", "b", "n"])
+
+    return run
 
 
 def scanned(docs: DataFrame, formats: Formats | None, *, text_col: str = "text", redact: str | None = None, count_col: str | None = None) -> DataFrame:

@@ -78,3 +78,11 @@ def test_secrets_inside_long_tokens(spark):
     for i, k in ((1, "github"), (2, "google"), (3, "slack"), (4, "stripe"), (7, "github")):
         assert fresh[k] not in got[i] and "[secret]" in got[i], k
     assert "[secret]" in got[5] and "AKIA" not in got[7] and got[6] == rows[5][1]
+
+
+def test_all_ordinary_tokens_make_the_background(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"see order/{i}-shipped-{i * 37}-by-post there") for i in range(300)], "doc_id long, text string").repartition(3)
+    before = secrets.Formats(secrets.examples()).background.pairs.total()
+    whole = secrets.learn(docs).background.pairs
+    monkeypatch.setattr(secrets, "SAMPLE_DOCS", 1)
+    assert secrets.learn(docs).background.pairs == whole and whole.total() > before + 300 * 20
