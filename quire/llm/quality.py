@@ -65,7 +65,7 @@ class Network:
             for i in range(0, len(begin), step):  # blocks that fit the cache
                 lo, hi = begin[i], stop[min(i + step, len(begin)) - 1]
                 z = self.responses(data[lo : hi + WIDTH - 1])
-                most[i : i + step] = np.maximum.reduceat(z, begin[i : i + step] - lo, axis=0) if _tight(begin[i : i + step], stop[i : i + step]) else np.maximum.reduceat(z, np.stack([begin[i : i + step], np.minimum(stop[i : i + step], hi - 1)], 1).reshape(-1) - lo, axis=0)[::2]
+                most[i : i + step] = np.maximum.reduceat(z, begin[i : i + step] - lo, axis=0) if _tight(begin[i : i + step], stop[i : i + step]) else np.maximum.reduceat(np.concatenate((z, z[:1])), np.stack([begin[i : i + step], stop[i : i + step]], 1).reshape(-1) - lo, axis=0)[::2]  # a row more, so that the last block can end
             pair = most.copy()
             last = np.zeros(len(begin), bool)
             last[first + blocks - 1] = True

@@ -116,3 +116,11 @@ def test_lexicon_folding_and_exceptions():
         assert f(s) == plain_found(lex, toxicity.fold(s.encode()))
     lex.curve = (-3.0, 2.0)
     assert lex.score(b"idiot") > lex.score(b"idiot " + b"word " * 3000) > lex.score(b"word " * 3000)
+
+
+def test_features_do_not_depend_on_the_batch():
+    pick = random.Random(4)
+    texts = [bytes(pick.randrange(32, 127) for _ in range(pick.randrange(1, 12))) for _ in range(600)]
+    net = quality.Network()
+    alone = np.concatenate([net.features([t]) for t in texts])
+    assert np.allclose(net.features(texts), alone, atol=1e-5)
