@@ -7,7 +7,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,15 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext._conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="quire-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary folder if all runs in this process, as in tests; on a cluster that is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _OWN.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="quire-shared-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -36,14 +38,48 @@ def cut(df: DataFrame) -> DataFrame:
 
 #: Bytes that go to Python at once.
 BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def by_batches(df: DataFrame, run, schema) -> DataFrame:
-    """df.mapInArrow in batches of BATCH_BYTES or a single row: Python's and Arrow's memory stay small beside the heap."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    """df.mapInArrow in batches of BATCH_BYTES or a single row: Python's and Arrow's memory stay small beside the heap.
+
+    Spark reads the bound from the session when the plan runs; a lower one of the user's stays.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_CONF, None) or 1 << 62) > BATCH_BYTES:
+        conf.set(BATCH_CONF, BATCH_BYTES)
     return df.mapInArrow(run, schema)
 
 
+def fresh(df: DataFrame, *stems: str) -> list[str]:
+    """A column name for each stem that df doesn't have, however it is written."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        name = stem
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def own(df: DataFrame) -> list[Column]:
+    """df's columns, whatever is in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def row_mark(df: DataFrame) -> Column:
+    """A 64-bit hash of all columns of a row, nulls told from each other's places; maps by their JSON."""
+    parts = []
+    for c, field in zip(own(df), df.schema, strict=True):
+        nested = field.dataType.simpleString()
+        value = F.to_json(F.struct(c)) if "map<" in nested or "variant" in nested else c
+        parts += [value, c.isNull()]
+    return F.xxhash64(*parts)
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """A string column's values as UTF-8, without decoding."""
     if isinstance(column, pa.ChunkedArray):
@@ -79,8 +115,18 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def heavy_keys(sizes: DataFrame, key: str, count: str, share: int = 500) -> list:
+#: A key with over a SHARE-th of all rows, or more than a task's share of them, is hot; keys at most that are broadcast.
+SHARE, SHARE_MOST = 500, 100_000
+
+
+def share_of(spark: SparkSession) -> int:
+    """As many keys as there are shuffle partitions may be hot: one with more rows than a partition's share must not meet in one."""
+    return max(SHARE, min(int(spark.conf.get("spark.sql.shuffle.partitions")), SHARE_MOST))
+
+
+def heavy_keys(sizes: DataFrame, key: str, count: str, share: int | None = None) -> list:
     """Keys with at least a share-th of all rows: share of them at most, whatever the data, so they may be gathered and broadcast."""
+    share = share or share_of(sizes.sparkSession)
     total = sizes.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
     return [r[0] for r in sizes.filter((F.col(count) * share >= F.lit(total)) & (F.col(count) > SPREAD_FROM) & F.col(key).isNotNull()).select(key).collect()]
 
@@ -89,10 +135,10 @@ def heavy_keys(sizes: DataFrame, key: str, count: str, share: int = 500) -> list
 SPREAD_FROM = 200
 
 
-def lookup(rows: DataFrame, small: DataFrame, key: str, count: str, share: int = 500, sizes: DataFrame | None = None) -> DataFrame:
+def lookup(rows: DataFrame, small: DataFrame, key: str, count: str, share: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """rows left-joined to small (one row per key, count is how many rows have it), hot keys by broadcast.
 
-    A key with over 1/share of all rows never meets in one task: those keys, share at most, are
+    A key with over 1/share of all rows (share_of the session) never meets in one task: those keys, share at most, are
     broadcast; the others go through an ordinary shuffled join. sizes: (key, count) where that is
     cheaper to read than small.
     """

@@ -1,16 +1,21 @@
 """Quality rules with adaptive thresholds.
 
-Each text is measured (words, symbols, repeated lines and word windows). Measures of the documents
-that pass the base rule go into quantile sketches, one for each language, source and measure. A sketch
-counts values rounded down to five significant bits, so sketches merge by adding counts, in any
-order and partitioning, and a quantile is off by a 32nd at most. A threshold is a fence: the upper
-quartile plus `spread` times the distance of the quartiles, that distance being no less than the
-measure's least spread; for word length there is a lower fence too. A language and source with fewer
-than LEAST documents uses the sketch merged over all of them. Thresholds are joined back and decide.
+Each text is measured: mean length of a word, and rates of symbols, repeated lines and repeated word
+windows. A rate counts one event more than the text has, over as much more room, so that a single
+event in a short text is nothing out of the way and texts without events still differ. Measures of the
+documents that pass the base rule go into quantile sketches, one for each language, source and
+measure. A sketch counts values rounded down to eight significant bits, so sketches merge by adding
+counts, in any order and partitioning, and a quantile is off by a 256th at most.
+
+A threshold is a fence: the upper quartile plus `spread` times the distance of the quartiles; for word
+length there is a lower fence too. No other figure decides. Quartiles of a language and source are
+drawn towards the language's, and those towards all documents', by weight: a sketch's own documents
+against PRIOR. Thresholds are joined back and decide; a measure that ties with its fence passes.
 
 DataFrame functions only. Nulls: a null text has no words and fails the base rule; null languages and
-sources are groups of their own. Repeated rows are each counted and each judged. An empty table gives
-an empty result. Other columns are not read.
+sources are groups of their own. Repeated rows are each counted and each judged. Texts are read whole,
+however long; the arrays of one text must fit a row. An empty table gives an empty result. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -19,17 +24,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, lookup
+from quire.llm.common import cut, fresh, lookup, own, row_mark
 from quire.llm.mixing import words_of
 
-#: Measures in thousandths: numerator, denominator, least spread, whether low values fail too.
+#: Measures in thousandths: numerator, denominator, one event in units of the numerator, whether low values fail too.
+#: A repeated window of three words makes six repeated words.
 MEASURES = {
-    "length": ("word_chars", "n_words", 400, True),
-    "symbols": ("n_symbols", "n_words", 25, False),
-    "lines": ("n_dup_lines", "n_lines", 250, False),
-    "repeats": ("n_repeat_words", "n_words", 100, False),
+    "length": ("word_chars", "n_words", 0, True),
+    "symbols": ("n_symbols", "n_words", 1, False),
+    "lines": ("n_dup_lines", "n_lines", 1, False),
+    "repeats": ("n_repeat_words", "n_words", 6, False),
 }
-SPREAD, LEAST = 3, 50
+SPREAD, PRIOR, BITS = 4, 50, 8
 #: Base rule: words at least, and hundredths of words in repeated windows at most.
 MIN_WORDS, MAX_REPEAT = 50, 50
 
@@ -68,13 +74,13 @@ def base_failed() -> Column:
 
 
 def value(measure: str) -> Column:
-    top, under = MEASURES[measure][:2]
-    return F.expr(f"{top} * 1000 div greatest({under}, 1)")
+    top, under, event, _ = MEASURES[measure]
+    return F.expr(f"({top} + {event}) * 1000 div greatest({under} + {event}, 1)")
 
 
 def rounded(v: Column) -> Column:
-    """v, not negative, with its five highest bits only: what the sketch keeps."""
-    drop = F.greatest(F.length(F.bin(v)) - 5, F.lit(0))
+    """v, not negative, with its BITS highest bits only: what the sketch keeps."""
+    drop = F.greatest(F.length(F.bin(v)) - BITS, F.lit(0))
     return F.call_function("shiftleft", F.call_function("shiftright", v, drop), drop)
 
 
@@ -88,39 +94,49 @@ def merged(sketch: DataFrame, by: list[str]) -> DataFrame:
     return sketch.groupBy(*by, "measure", "v").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, by: list[str], spread: int = SPREAD) -> DataFrame:
-    """(by, docs, {measure}_low, {measure}_high)."""
-    own = [*by, "measure"]
-    all_n, so_far = F.sum("n").over(W.partitionBy(*own)), F.sum("n").over(W.partitionBy(*own).orderBy("v"))
-    at = sketch.select("*", all_n.alias("docs"), so_far.alias("c"))
+def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """(by, measure, docs, q1, q3) of each sketch."""
+    of = W.partitionBy(*by, "measure")
+    at = sketch.select("*", F.sum("n").over(of).alias("docs"), F.sum("n").over(of.orderBy("v")).alias("c"))
     quartile = lambda q: F.min(F.when(4 * F.col("c") >= q * F.col("docs"), F.col("v")))
-    at = at.groupBy(*own).agg(F.max("docs").alias("docs"), quartile(1).alias("q1"), quartile(3).alias("q3"))
+    return at.groupBy(*by, "measure").agg(F.max("docs").alias("docs"), quartile(1).alias("q1"), quartile(3).alias("q3"))
+
+
+def drawn(one: DataFrame, parent: DataFrame, by: list[str], prior: int = PRIOR) -> DataFrame:
+    """Quartiles drawn towards the parent's: its own documents weigh against prior ones like the parent's."""
+    up = parent.select(*by, "measure", F.col("q1").alias("p1"), F.col("q3").alias("p3"))
+    both = lambda q, p: F.expr(f"(docs * {q} + {prior} * {p}) div (docs + {prior})").alias(q)
+    return one.join(up, [*by, "measure"]).select(*one.drop("q1", "q3").columns, both("q1", "p1"), both("q3", "p3"))
+
+
+def fences(sketch: DataFrame, *, prior: int = PRIOR, spread: int = SPREAD) -> DataFrame:
+    """sketch by l and g (a language, and a source of it). (g, {measure}_low, {measure}_high)."""
+    whole = quartiles(merged(sketch, []), [])
+    langs = drawn(quartiles(merged(sketch, ["l"]), ["l"]), whole, [], prior)
+    own = drawn(quartiles(sketch, ["l", "g"]), langs, ["l"], prior)
+    wide = spread * (F.col("q3") - F.col("q1"))
     out = []
-    for m, (_, _, least, _) in MEASURES.items():
-        wide = spread * F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
+    for m in MEASURES:
         out += [F.max(F.when(F.col("measure") == m, F.col("q1") - wide)).alias(f"{m}_low"), F.max(F.when(F.col("measure") == m, F.col("q3") + wide)).alias(f"{m}_high")]
-    return at.groupBy(*by).agg(F.max("docs").alias("docs"), *out)
+    return own.groupBy("g").agg(*out)
 
 
 def judged(rows: DataFrame, *, lang: str = "lang", source: str = "source") -> DataFrame:
     """rows (measured, with lang and source) with base_failed and kept."""
     # one text for each pair: nulls and any characters stay apart
-    pair = F.concat(*[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in (lang, source)])
-    rows = cut(rows.select("*", pair.alias("g"), base_failed().alias("base_failed")))
-    sketch = cut(sketches(rows.filter("not base_failed"), ["g"]))
-    whole = fences(merged(sketch.withColumn("a", F.lit(1)), ["a"]), ["a"])
-    own = fences(sketch, ["g"])
+    coded = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in (lang, source)]
+    rows = cut(rows.select("*", coded[0].alias("l"), F.concat(*coded).alias("g"), base_failed().alias("base_failed")))
+    sketch = cut(sketches(rows.filter("not base_failed"), ["l", "g"]))
     counts = rows.groupBy("g").agg(F.count("*").alias("__n"))
     names = [f"{m}_{end}" for m in MEASURES for end in ("low", "high")]
-    small = counts.join(own, "g", "left").withColumn("a", F.lit(1)).join(whole.select("a", *[F.col(n).alias(f"all_{n}") for n in names]), "a", "left")
-    small = small.select("g", "__n", *[F.when(F.col("docs") >= LEAST, F.col(n)).otherwise(F.col(f"all_{n}")).alias(n) for n in names])
+    small = counts.join(fences(sketch), "g", "left")
     at = lookup(rows, small, "g", "__n", sizes=counts)
     ok = F.lit(True)
     for m, (_, _, _, low) in MEASURES.items():
         ok = ok & (value(m) <= F.col(f"{m}_high"))
         if low:
             ok = ok & (value(m) >= F.col(f"{m}_low"))
-    return at.select("*", (~F.col("base_failed") & F.coalesce(ok, F.lit(False))).alias("kept")).drop("g", "__n", *names)
+    return at.select("*", (~F.col("base_failed") & F.coalesce(ok, F.lit(False))).alias("kept")).drop("g", "l", "__n", *names)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -128,9 +144,10 @@ def report(docs: DataFrame) -> DataFrame:
     return judged(rows).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def keep_good(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """docs that are kept; rows of equal id, text, language and source are judged alike."""
-    keys = [F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("__id"), F.xxhash64(text_col, lang_col, source_col).alias("__sig")]
-    narrow = docs.select(*keys, F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    good = judged(measured(narrow, keep=["__id", "__sig", "lang", "source"])).filter("kept").select("__id", "__sig").distinct()
-    return docs.select("*", *keys).join(good, ["__id", "__sig"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """docs that are kept; equal rows are judged alike."""
+    (mark,) = fresh(docs, "__mark")
+    marked = docs.select("*", row_mark(docs).alias(mark))
+    narrow = marked.select(F.col(mark).alias("mark"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    good = judged(measured(narrow, keep=["mark", "lang", "source"])).filter("kept").select(F.col("mark").alias(mark)).distinct()
+    return marked.join(good, mark, "left_semi").select(*own(docs))

@@ -50,8 +50,8 @@ WITH texts AS (
   FROM texts t LEFT JOIN covered c USING (rid)
 ), b AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-         word_chars * 1000 // greatest(n_words, 1) AS length_v, n_symbols * 1000 // greatest(n_words, 1) AS symbols_v,
-         n_dup_lines * 1000 // greatest(n_lines, 1) AS lines_v, n_repeat_words * 1000 // greatest(n_words, 1) AS repeats_v
+         word_chars * 1000 // greatest(n_words, 1) AS length_v, (n_symbols + 1) * 1000 // (n_words + 1) AS symbols_v,
+         (n_dup_lines + 1) * 1000 // (n_lines + 1) AS lines_v, (n_repeat_words + 6) * 1000 // (n_words + 6) AS repeats_v
   FROM m
 ), v AS (
   SELECT lang, source, 'length' AS measure, length_v AS v FROM b WHERE NOT base_failed
@@ -59,25 +59,22 @@ WITH texts AS (
   UNION ALL SELECT lang, source, 'lines', lines_v FROM b WHERE NOT base_failed
   UNION ALL SELECT lang, source, 'repeats', repeats_v FROM b WHERE NOT base_failed
 ), r AS (
-  SELECT lang, source, measure, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS v FROM v
-), q AS (
-  SELECT lang, source, measure, count(*) AS docs, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM r GROUP BY ALL
-), a AS (
+  SELECT lang, source, measure, (v >> greatest(length(bin(v)) - 8, 0)) << greatest(length(bin(v)) - 8, 0) AS v FROM v
+), whole AS (
   SELECT measure, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM r GROUP BY ALL
-), groups AS (
-  SELECT DISTINCT lang, source FROM b
+), langs AS (
+  SELECT lang, measure, (docs * o.q1 + 50 * whole.q1) // (docs + 50) AS q1, (docs * o.q3 + 50 * whole.q3) // (docs + 50) AS q3
+  FROM (SELECT lang, measure, count(*) AS docs, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM r GROUP BY ALL) o JOIN whole USING (measure)
 ), f AS (
-  SELECT g.lang, g.source, a.measure,
-         CASE WHEN q.docs >= 50 THEN q.q1 ELSE a.q1 END AS q1, CASE WHEN q.docs >= 50 THEN q.q3 ELSE a.q3 END AS q3,
-         CASE a.measure WHEN 'length' THEN 400 WHEN 'symbols' THEN 25 WHEN 'lines' THEN 250 ELSE 100 END AS least
-  FROM groups g CROSS JOIN a LEFT JOIN q ON q.lang = g.lang AND q.source = g.source AND q.measure = a.measure
+  SELECT o.lang, source, measure, (docs * o.q1 + 50 * langs.q1) // (docs + 50) AS q1, (docs * o.q3 + 50 * langs.q3) // (docs + 50) AS q3
+  FROM (SELECT lang, source, measure, count(*) AS docs, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM r GROUP BY ALL) o JOIN langs USING (lang, measure)
 ), h AS (
   SELECT lang, source,
-         max(CASE WHEN measure = 'length' THEN q1 - 3 * greatest(q3 - q1, least) END) AS length_low,
-         max(CASE WHEN measure = 'length' THEN q3 + 3 * greatest(q3 - q1, least) END) AS length_high,
-         max(CASE WHEN measure = 'symbols' THEN q3 + 3 * greatest(q3 - q1, least) END) AS symbols_high,
-         max(CASE WHEN measure = 'lines' THEN q3 + 3 * greatest(q3 - q1, least) END) AS lines_high,
-         max(CASE WHEN measure = 'repeats' THEN q3 + 3 * greatest(q3 - q1, least) END) AS repeats_high
+         max(CASE WHEN measure = 'length' THEN q1 - 4 * (q3 - q1) END) AS length_low,
+         max(CASE WHEN measure = 'length' THEN q3 + 4 * (q3 - q1) END) AS length_high,
+         max(CASE WHEN measure = 'symbols' THEN q3 + 4 * (q3 - q1) END) AS symbols_high,
+         max(CASE WHEN measure = 'lines' THEN q3 + 4 * (q3 - q1) END) AS lines_high,
+         max(CASE WHEN measure = 'repeats' THEN q3 + 4 * (q3 - q1) END) AS repeats_high
   FROM f GROUP BY ALL
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -42,8 +42,8 @@ def test_measures_are_plain_counts(spark):
         assert got[i] == plain(t), repr(t)[:60]
 
 
-@pytest.mark.parametrize("v,want", [(0, 0), (5, 5), (31, 31), (32, 32), (33, 32), (1000, 992), (123456, 122880)])
-def test_sketch_keeps_five_bits(spark, v, want):
+@pytest.mark.parametrize("v,want", [(0, 0), (5, 5), (255, 255), (256, 256), (257, 256), (1000, 1000), (1001, 1000), (123456, 123392)])
+def test_sketch_keeps_eight_bits(spark, v, want):
     assert spark.range(1).select(rules.rounded(rules.F.lit(v).cast("bigint")).alias("x")).first().x == want
 
 
@@ -66,5 +66,37 @@ def test_fences_adapt_and_merge(spark):
     assert again.columns == frame.columns and {r.doc_id for r in again.collect()} == kept
 
 
+def test_fences_differ_between_groups(spark):
+    """A rate of symbols that is common in one source is far out in another; so with word lengths in two languages."""
+    some = lambda seed, every: " ".join(w + ("#" if i % every == 0 else "") for i, w in enumerate(good(seed).split()))
+    rows = [(i, some(i, 4 + i % 5), "en", "code", None) for i in range(150)] + [(1000 + i, good(2000 + i), "en", "prose", None) for i in range(600)]
+    rows += [(2000 + i, " ".join(w * 3 for w in good(3000 + i).split()), "fi", "prose", None) for i in range(150)]
+    rows += [(9000, some(9000, 5), "en", "code", None), (9001, some(9000, 5), "en", "prose", None)]
+    rows += [(9002, " ".join(w * 3 for w in good(9002).split()), "fi", "prose", None), (9003, " ".join(w * 3 for w in good(9002).split()), "en", "prose", None)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    measured = rules.measured(frame, keep=["doc_id", "lang", "source"])
+    kept = {r.doc_id for r in rules.judged(measured).filter("kept").collect()}
+    assert 9000 in kept and 9001 not in kept and 9002 in kept and 9003 not in kept
+    sketch = rules.sketches(measured.selectExpr("*", "lang AS l", "concat(lang, source) AS g"), ["l", "g"])
+    found = {r.g: r for r in rules.fences(sketch).collect()}
+    assert found["encode"].symbols_high > 3 * found["enprose"].symbols_high
+    assert found["fiprose"].length_low > found["enprose"].length_high
+
+
+def test_small_groups_are_drawn_to_their_language(spark):
+    sketch = spark.createDataFrame([("en", "a", "symbols", v, 100) for v in (0, 8, 16, 24)] + [("en", "b", "symbols", 200, 4)], "l string, g string, measure string, v long, n long")
+    own = {r.g: (r.q1, r.q3) for r in rules.drawn(rules.quartiles(sketch, ["l", "g"]), rules.quartiles(rules.merged(sketch, ["l"]), ["l"]), ["l"]).collect()}
+    assert own["a"] == (0, 16) and own["b"] == ((4 * 200 + 50 * 8) // 54, (4 * 200 + 50 * 24) // 54)
+
+
+def test_repeats_ties_long_texts_and_clashing_names(spark):
+    rows = [(i, good(i), "en", "s", "k") for i in range(60)] * 2 + [(70, good(7, 200_000), "en", "s", "k"), (None, good(8), None, "en", None), (None, good(8), "en", None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, __mark string").selectExpr("*", "doc_id AS g", "text AS l", "lang AS __n", "map('a', doc_id) AS kept")
+    again = rules.keep_good(frame)
+    assert again.columns == frame.columns
+    got = sorted((r.doc_id is None, r.doc_id, r.lang, r.source) for r in again.collect() if r.doc_id is not None)
+    assert len(got) == 121
+
+
 def test_empty(spark):
     assert rules.report(spark.createDataFrame([], SCHEMA)).count() == 0
