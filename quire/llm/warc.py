@@ -1,16 +1,19 @@
 """Deterministic sharded WARC writer and its reader.
 
 Records are sorted by page id into shards. Shard borders come from a histogram of ids weighted by
-payload bytes, so they are the same for any partitioning. A shard is written by one task as gzip
+payload bytes, in two levels and cumulated on the cluster, so they are the same for any partitioning;
+one border a shard comes to the driver, and rows find their shard by binary search. A shard is written by one task as gzip
 members of one record each; a file is closed once its compressed size reaches the limit. Headers,
 record ids and digests are made anew from id, address and payload. Tasks write under temporary
 names and report their files; the report is committed as a table, files are then renamed by it and a
 marker ends the archive. A task or executor lost on the way leaves at most a stray temporary file.
 
 Of records with equal payloads (of min_revisit bytes or more) the one with the largest page id is a
-response; the others are revisits that refer to it. Nulls: null html is an empty payload; a null page
-id sorts first, and refers_to is null if it is the response's. Null addresses become urn:page:ID. Of
-wholly equal rows the first written is the response. Empty tables give an archive without records.
+response; the others are revisits that refer to it, by its page id, address, date and record id.
+Nulls: null html is an empty payload; a null page id sorts first, and refers_to is null if it is the
+response's. Null and empty addresses become urn:page:ID. Ties: of pages of one id the greatest address
+is the response's, of wholly equal rows the first written; their records are numbered, so that no two
+have one id. Payloads are held whole, one at a time. Empty tables give an archive without records.
 Other columns are not written.
 """
 
@@ -27,14 +30,17 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import by_batches, cut, lookup, shared_dir
+from quire.llm.common import by_batches, cut, heavy_keys, lookup, shared_dir
 
 #: Raw bytes of a shard at least; shards at most; ids' histogram bars at each of two levels.
 SHARD_BYTES, SHARDS, BARS = 32 << 20, 50_000, 4096
 ROLL_BYTES = 64 << 20
+#: Records of equal pages that are written together, where one page has very many.
+TOGETHER = 10_000
 DATE = "2024-01-01T00:00:00Z"
 CRLF = b"\r\n"
 OVERHEAD = 600
@@ -45,10 +51,14 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def record_id(key: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, key)}>"
+
+
 def _record(kind: str, uri: str, headers: list[tuple[str, str]], block: bytes, key: str) -> bytes:
     head = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, key)}>"),
+        ("WARC-Record-ID", record_id(key)),
         ("WARC-Date", DATE),
         *([("WARC-Target-URI", uri)] if uri else []),
         *headers,
@@ -65,68 +75,102 @@ def _uri(url: str | None, page: str) -> str:
     return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url)
 
 
-def page_record(page_id: int | None, url: str | None, payload: bytes, size: int, digest: str, refers: tuple[int | None] | None) -> bytes:
-    """The record of one page: a response, or a revisit if refers holds the response's page id."""
-    page = "null" if page_id is None else str(page_id)
+def _name(page_id: int | None) -> str:
+    return "null" if page_id is None else str(page_id)
+
+
+def page_record(page_id: int | None, url: str | None, payload: bytes, size: int, digest: str, refers: tuple[int | None, str | None] | None, copy: int = 0) -> bytes:
+    """The record of one page: a response, or a revisit if refers holds the response's page id and address. copy tells equal pages apart."""
+    page = _name(page_id)
     uri = _uri(url, page)
+    key = f"{page} {url or ''} {digest}" + (f" {copy}" if copy else "")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     own = [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Page-ID", page), ("X-Payload-Length", str(size)), ("Content-Type", "application/http;msgtype=response")]
     if refers is None:
-        return _record("response", uri, own, http + payload, f"{page} {uri} {digest}")
-    other = "null" if refers[0] is None else str(refers[0])
-    own += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Refers-To-Page-ID", other)]
-    return _record("revisit", uri, own, http, f"{page} {uri} {digest} revisit")
+        return _record("response", uri, own, http + payload, key)
+    other = _name(refers[0])
+    target = _uri(refers[1], other)
+    own += [
+        ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+        ("WARC-Refers-To", record_id(f"{other} {refers[1] or ''} {digest}")),
+        ("WARC-Refers-To-Target-URI", target),
+        ("WARC-Refers-To-Date", DATE),
+        ("X-Refers-To-Page-ID", other),
+    ]
+    return _record("revisit", uri, own, http, key + " revisit")
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def _bar_columns(low: int, wide: int, fine: int):
-    off = F.col("page_id").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
-    bar = F.coalesce(F.floor(off / F.lit(wide)).cast("int"), F.lit(-1))
-    return bar, F.coalesce(F.floor(F.pmod(off, F.lit(wide).cast("decimal(20,0)")) / F.lit(fine)).cast("int"), F.lit(-1))
-
+def borders(rows: DataFrame, shard_bytes: int = SHARD_BYTES, bars: int = BARS):
+    """From rows (page_id, n): a function that adds `shard` to rows with page_id and h, and the number of shards.
 
-def borders(rows: DataFrame, shard_bytes: int = SHARD_BYTES):
-    """From rows (page_id, n): a function that adds `shard` to rows with page_id and h, and the number of shards."""
+    Ids stand in bars, and bars in finer bars; weights are cumulated over the bars in order, and a new
+    shard begins wherever the sum passes another target. A fine bar that holds several targets (one id,
+    or ids very near each other) gets as many shards, dealt by h. What comes to the driver is the first bar
+    of each shard: SHARDS + 2 rows at most.
+    """
     low, high, total = rows.agg(F.min("page_id"), F.max("page_id"), F.sum(F.col("n") + OVERHEAD)).first()
     target = max(shard_bytes, -(-int(total or 0) // SHARDS))
     low, high = (0, 0) if low is None else (int(low), int(high))
-    wide = (high - low) // BARS + 1
-    bar, sub = _bar_columns(low, wide, wide // BARS + 1)
-    weight = F.sum(F.col("n") + OVERHEAD).alias("w")
-    first = {r["a"]: int(r["w"]) for r in rows.groupBy(bar.alias("a")).agg(weight).collect()}  # BARS + 1 at most
-    big = [a for a, w in first.items() if w > target]  # fewer than there are shards
-    weights = {(a, -2): w for a, w in first.items() if w <= target}
-    if big:
-        dense = rows.select(bar.alias("a"), sub.alias("b"), "n").filter(F.col("a").isin(big))
-        weights |= {(r["a"], r["b"]): int(r["w"]) for r in dense.groupBy("a", "b").agg(weight).collect()}
-    made, shard, filled = [], 0, 0
-    for (a, b), w in sorted(weights.items()):
-        parts = -(-w // target)
-        if filled and filled + w > target:
-            shard, filled = shard + 1, 0
-        made.append((a, b, shard, parts))
-        if parts > 1:  # one id, or ids very near each other: dealt by hash
-            shard += parts
+    wide = (high - low) // bars + 1
+    fine = wide // bars + 1
+    exact = "decimal(20,0)"
+    off = F.col("page_id").cast(exact) - F.lit(low).cast(exact)
+    # a number for each fine bar, in the order of ids; null ids come first
+    bar = F.coalesce(F.floor(off / F.lit(wide)).cast("bigint"), F.lit(-1))
+    code = bar * bars + F.coalesce(F.floor(F.pmod(off, F.lit(wide).cast(exact)) / F.lit(fine)).cast("bigint"), F.lit(0))
+    w = rows.groupBy(code.alias("code")).agg(F.sum(F.col("n") + OVERHEAD).alias("w")).withColumn("bar", F.floor(F.col("code") / bars))
+    # sums over the bars (bars + 1 rows in one window), then within each
+    tops = w.groupBy("bar").agg(F.sum("w").alias("own")).select("bar", (F.sum("own").over(W.orderBy("bar")) - F.col("own")).alias("before"))
+    upto = F.col("before") + F.sum("w").over(W.partitionBy("bar").orderBy("code"))
+    at = cut(w.join(F.broadcast(tops), "bar").select("code", upto.alias("upto"), "w"))
+    lot = F.floor((F.col("upto") - F.col("w")) / target).cast("bigint")
+    parts = F.ceil(F.col("w") / target).cast("bigint")
+    first = at.groupBy(lot.alias("lot")).agg(F.min("code").alias("code"), F.max(F.struct("code", parts.alias("parts"))).alias("last"))
+    got = sorted((r["code"], r["last"]["code"], r["last"]["parts"]) for r in first.collect())
+    starts, firsts, counts, shard = [], [], [], 0
+    for code_, last, many in got:  # only a lot's last bar can pass the target by itself
+        if many > 1:
+            if last > code_:
+                starts, firsts, counts, shard = [*starts, code_], [*firsts, shard], [*counts, 1], shard + 1
+            starts, firsts, counts, shard = [*starts, last], [*firsts, shard], [*counts, many], shard + many
         else:
-            filled += w
-    table = F.broadcast(rows.sparkSession.createDataFrame(made or [(-3, -3, 0, 1)], "a int, b int, first int, parts int"))
+            starts, firsts, counts, shard = [*starts, code_], [*firsts, shard], [*counts, 1], shard + 1
 
     def place(df: DataFrame) -> DataFrame:
-        fine = F.when(F.col("a").isin(big), F.col("b0")).otherwise(-2) if big else F.lit(-2)
-        at = df.select("*", bar.alias("a"), sub.alias("b0")).select("*", fine.alias("b")).join(table, ["a", "b"], "left")
-        return at.select("*", (F.col("first") + F.pmod(F.col("h"), F.col("parts")).cast("int")).alias("shard")).drop("a", "b", "b0", "first", "parts")
+        at = _last_not_over(starts or [-bars], F.col("code"))
+        pick = lambda xs: F.get(_constants(xs), F.col("at"))
+        dealt = pick(firsts or [0]) + F.pmod(F.col("h"), pick(counts or [1]))
+        return df.select("*", code.alias("code")).select("*", at.alias("at")).select("*", dealt.cast("int").alias("shard")).drop("code", "at")
 
-    return place, shard + 1
+    return place, max(1, shard)
+
+
+def _constants(xs: list[int]) -> Column:
+    """An array of constants as one literal, however many."""
+    return F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")
+
+
+def _last_not_over(xs: list[int], x: Column, fan: int = 64) -> Column:
+    """Index of the last of the ascending xs that is not over x (0 if all are), found level by level."""
+    levels = [xs]
+    while len(levels[0]) > fan:
+        levels.insert(0, levels[0][::fan])
+    at = F.lit(0)
+    for level in levels:
+        block = F.slice(_constants(level), at * fan + 1, F.lit(fan))
+        at = at * fan + F.greatest(F.size(F.filter(block, lambda y: y <= x)) - 1, F.lit(0))
+    return at
 
 
 def _writer(out: str, roll: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(out)
         tag = f"{TaskContext.get().partitionId()}-{TaskContext.get().taskAttemptId()}"
-        open_file, at, done, known, first = None, None, [], None, True
+        open_file, at, done, now, known, copy = None, None, [], None, None, 0
         fs.create_dir(f"{base}/_temporary", recursive=True)
 
         def start(shard: int, seq: int):
@@ -153,19 +197,23 @@ def _writer(out: str, roll: int):
                     if at is not None:
                         stop()
                     start(r["shard"], 0)
-                elif at["bytes"] >= roll:
-                    stop()
-                    start(at["shard"], at["seq"] + 1)
                 key = (r["page_id"], r["url"], r["digest"])
+                if key != now:
+                    now, known, copy = key, None, 0
                 if r["step"] == 0:
-                    known, first = (key, r["response"], r["revisit"]), True
+                    known = (r["response"], r["response_url"]), r["revisit"]
                     continue
-                refers = None
-                if known is not None and known[0] == key:
-                    refers = (known[1],) if known[2] or not first else None
-                    first = False
+                if r["revisit"] is not None:  # many equal pages at once
+                    known = (r["response"], r["response_url"]), r["revisit"]
+                copy = r["copy"] or copy
                 digest = base64.b32encode(bytes.fromhex(r["digest"])).decode()
-                put(page_record(r["page_id"], r["url"], b"" if refers else (r["html"] or b""), r["n"], digest, refers))
+                for _ in range(r["copies"]):
+                    if at["bytes"] >= roll:
+                        stop()
+                        start(at["shard"], at["seq"] + 1)
+                    refers = known[0] if known is not None and (known[1] or copy) else None
+                    put(page_record(r["page_id"], r["url"], b"" if refers else (r["html"] or b""), r["n"], digest, refers, copy))
+                    copy += 1
         if at is not None:
             stop()
         yield pa.RecordBatch.from_pylist(done, pa.schema([("shard", pa.int32()), ("seq", pa.int32()), ("temp", pa.string()), ("name", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())]))
@@ -177,19 +225,35 @@ def write(pages: DataFrame, out: str, *, id_col: str = "page_id", url_col: str =
     """Writes the archive to the folder out, a URI that all executors reach; complete once _COMMITTED is there."""
     spark = pages.sparkSession
     html = F.coalesce(F.col(html_col).cast("binary"), F.lit("").cast("binary"))
-    rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), html.alias("html"))
-    rows = rows.select("*", F.octet_length("html").cast("bigint").alias("n"), F.sha1("html").alias("digest"), F.xxhash64("page_id", "url", "html").alias("h"))
+    rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), html.alias("html"))
+    rows = rows.select("*", F.octet_length("html").cast("bigint").alias("n"), F.sha1("html").alias("digest"))
+    rows = rows.select("*", F.xxhash64(F.col("page_id").isNull(), "page_id", "url", "digest").alias("h"))
+    narrow = cut(rows.drop("html"))
     # struct order puts null ids first, so the largest id wins; of equal ids, the greater address
-    best = rows.filter(F.col("n") >= min_revisit).groupBy("digest").agg(F.max(F.struct("page_id", F.coalesce("url", F.lit("")).alias("u"))).alias("best"), F.count("*").alias("many")).filter("many > 1")
+    best = narrow.filter(F.col("n") >= min_revisit).groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("best"), F.count("*").alias("many")).filter("many > 1")
     best = cut(best)
+    is_best = F.col("best.page_id").eqNullSafe(F.col("page_id")) & (F.col("best.url") == F.col("url"))
+    said = [F.col("best.page_id").alias("response"), F.col("best.url").alias("response_url"), F.when(F.col("best").isNotNull(), ~is_best).alias("revisit")]
+    # equal pages in great number: one payload, and the rest by count
+    hot = heavy_keys(narrow.groupBy("h").agg(F.count("*").alias("many")), "h", "many")
+    many = F.broadcast(spark.createDataFrame([(h,) for h in hot], "h bigint"))
+    single = (lambda df: df.join(many, "h", "left_anti")) if hot else (lambda df: df)
     # what is told of rows with copies goes to their shard without the payload, ahead of the row itself
-    told = lookup(rows.select("page_id", "url", "n", "digest", "h"), best, "digest", "many").filter("best is not null")
-    is_best = F.col("best.page_id").eqNullSafe(F.col("page_id")) & (F.col("best.u") == F.coalesce("url", F.lit("")))
-    told = told.select("page_id", "url", "n", "digest", "h", F.col("best.page_id").alias("response"), (~is_best).alias("revisit"), F.lit(None).cast("binary").alias("html"), F.lit(0).alias("step"))
-    own = rows.select("page_id", "url", "n", "digest", "h", F.lit(None).cast("bigint").alias("response"), F.lit(None).cast("boolean").alias("revisit"), "html", F.lit(1).alias("step"))
-    place, count = borders(rows.select("page_id", "n"), shard_bytes)
-    order = ("shard", F.col("page_id").asc_nulls_first(), "digest", F.coalesce("url", F.lit("")), "step")
-    sent = place(own.unionByName(told)).repartitionById(count, F.col("shard")).sortWithinPartitions(*order)
+    told = lookup(single(narrow), best, "digest", "many").filter("best is not null")
+    told = told.select("page_id", "url", "n", "digest", "h", *said, F.lit(None).cast("binary").alias("html"), F.lit(0).alias("step"), F.lit(0).alias("copies"), F.lit(0).cast("bigint").alias("copy"))
+    none = [F.lit(None).cast("bigint").alias("response"), F.lit(None).cast("string").alias("response_url"), F.lit(None).cast("boolean").alias("revisit")]
+    sent = single(rows).select("page_id", "url", "n", "digest", "h", *none, "html", F.lit(1).alias("step"), F.lit(1).alias("copies"), F.lit(0).cast("bigint").alias("copy")).unionByName(told)
+    if hot:
+        equal = rows.join(many, "h", "left_semi").groupBy("page_id", "url", "n", "digest", "h").agg(F.count("*").alias("all"), F.first("html").alias("html"))
+        equal = equal.join(best, "digest", "left").select("page_id", "url", "n", "digest", "h", *said, "html", "all")
+        equal = equal.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("all") - 1, F.lit(TOGETHER).cast("bigint"))).alias("copy"))
+        # each lot goes where its own hash says, the first with the payload; where none may be a revisit, all
+        payload = F.when((F.col("copy") == 0) | F.col("revisit").isNull(), F.col("html"))
+        lots = equal.select("page_id", "url", "n", "digest", F.xxhash64("h", "copy").alias("h"), "response", "response_url", "revisit", payload.alias("html"), F.lit(1).alias("step"), F.least(F.col("all") - F.col("copy"), F.lit(TOGETHER)).cast("int").alias("copies"), "copy")
+        sent = sent.unionByName(lots)
+    place, count = borders(narrow.select("page_id", "n"), shard_bytes)
+    order = ("shard", F.col("page_id").asc_nulls_first(), "digest", "url", "step", "copy")
+    sent = place(sent).repartitionById(count, F.col("shard")).sortWithinPartitions(*order)
     by_batches(sent, _writer(out, roll), FILES).write.mode("overwrite").parquet(f"{out}/_manifest")
     commit(spark, out)
 

@@ -42,6 +42,15 @@ def told(df):
     return sorted(repr(tuple(r)) for r in df.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect())
 
 
+def records(folder):
+    out = []
+    for x in sorted(os.listdir(folder)):
+        if x.endswith(".gz"):
+            with open(folder / x, "rb") as f:
+                out += [warc.parse(r)[0] for r in warc.members(f)]
+    return out
+
+
 @pytest.mark.parametrize("shard_bytes", [1 << 30, 3000])
 def test_round_trip(spark, tmp_path, shard_bytes):
     rows = pages()
@@ -76,6 +85,64 @@ def test_least_bytes_for_revisits(spark, tmp_path):
     assert got == {1: ("response", None), 2: ("response", None), 3: ("revisit", 4), 4: ("response", None)}
 
 
+def test_null_and_empty_addresses_are_one(spark, tmp_path):
+    rows = [(1, None, "same", ""), (1, "", "same", ""), (1, None, "same", "")]
+    out = f"file://{tmp_path}/n"
+    warc.write(spark.createDataFrame(rows, SCHEMA).repartition(3), out, shard_bytes=700)
+    assert sorted(r.record_type for r in warc.read(spark, out).collect()) == ["response", "revisit", "revisit"]
+
+
+def test_ids_are_unique_and_revisits_can_be_followed(spark, tmp_path):
+    warc.write(spark.createDataFrame(pages() + pages()[:20], SCHEMA), f"file://{tmp_path}/u", shard_bytes=5000, roll=2000)
+    found = records(tmp_path / "u")
+    ids = [f["WARC-Record-ID"] for f in found]
+    assert len(ids) == len(set(ids))
+    by_id = {f["WARC-Record-ID"]: f for f in found}
+    revisits = [f for f in found if f["WARC-Type"] == "revisit"]
+    assert len(revisits) > 40
+    for f in revisits:
+        other = by_id[f["WARC-Refers-To"]]
+        assert other["WARC-Type"] == "response" and other["WARC-Payload-Digest"] == f["WARC-Payload-Digest"]
+        assert (other["WARC-Target-URI"], other["WARC-Date"], other["X-Page-ID"]) == (f["WARC-Refers-To-Target-URI"], f["WARC-Refers-To-Date"], f["X-Refers-To-Page-ID"])
+
+
+def test_equal_pages_in_great_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "TOGETHER", 100)
+    rows = [(5, "http://x/5", "hot page", "s")] * 730 + [(9, "http://x/9", "hot page", "s")] * 3 + [(i, f"u{i}", f"page {i}", None) for i in range(200)]
+    out = f"file://{tmp_path}/h"
+    for least, kinds in ((0, {"response": 201, "revisit": 732}), (100, {"response": 933})):
+        warc.write(spark.createDataFrame(rows, SCHEMA).repartition(7), out + str(least), shard_bytes=20_000, min_revisit=least)
+        got = warc.read(spark, out + str(least)).collect()
+        assert {k: sum(r.record_type == k for r in got) for k in kinds} == kinds and len(got) == len(rows)
+        assert {r.refers_to for r in got if r.record_type == "revisit"} <= {9}
+        ids = [f["WARC-Record-ID"] for f in records(tmp_path / f"h{least}")]
+        assert len(ids) == len(set(ids))
+        shards = {x.split("-")[0] for x in os.listdir(tmp_path / f"h{least}") if x.endswith(".gz")}
+        assert len(shards) > 3
+
+
+@pytest.mark.parametrize("ids", [range(3000), [x**2 for x in range(3000)], [1] * 500 + list(range(10**9, 10**9 + 500)), [10**18, -(10**18), 0, None]])
+def test_borders_are_few_and_in_order(spark, monkeypatch, ids):
+    rows = spark.createDataFrame([(i, 1000, k) for k, i in enumerate(ids)], "page_id long, n long, h long")
+    gathered = []
+    collect = type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda df: gathered.append(collect(df)) or gathered[-1])
+    place, count = warc.borders(rows.select("page_id", "n"), shard_bytes=20_000, bars=16)
+    total = len(ids) * 1600
+    assert sum(map(len, gathered)) <= total // 20_000 + 2 and count <= 3 * (total // 20_000 + 1)
+    at = sorted((r["page_id"] is not None, r["page_id"] or 0, r["shard"]) for r in place(rows).collect())
+    assert {s for _, _, s in at} <= set(range(count))
+    if isinstance(ids, range):  # no bar is dense: shards follow ids
+        assert [s for _, _, s in at] == sorted(s for _, _, s in at)
+        assert max(sum(s == k for _, _, s in at) for k in range(count)) * 1600 <= 4 * 20_000 * 16
+
+
+def test_last_not_over(spark):
+    xs = list(range(0, 30_000, 3))
+    got = spark.range(-5, 30_010, 7).select("id", warc._last_not_over(xs, warc.F.col("id")).alias("at")).collect()
+    assert all(r["at"] == min(max(r["id"] // 3, 0), len(xs) - 1) for r in got)
+
+
 def test_damage_is_found(spark, tmp_path):
     record = warc.page_record(1, "u", b"abc", 3, warc.base32_sha1(b"abc"), None)
     raw = gzip.decompress(record)
