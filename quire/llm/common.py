@@ -49,7 +49,14 @@ def by_batches(df: DataFrame, run, schema) -> DataFrame:
     conf = df.sparkSession.conf
     if int(conf.get(BATCH_CONF, None) or 1 << 62) > BATCH_BYTES:
         conf.set(BATCH_CONF, BATCH_BYTES)
-    return df.mapInArrow(run, schema)
+    names = df.columns
+    if not any(c in n for n in names for c in ".`"):
+        return df.mapInArrow(run, schema)
+
+    def named(batches):  # Spark can't send such names
+        return run(pa.RecordBatch.from_arrays(b.columns, names) for b in batches)
+
+    return df.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(named, schema)
 
 
 def fresh(df: DataFrame, *stems: str) -> list[str]:
@@ -65,7 +72,7 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
     return out
 
 
-def own(df: DataFrame) -> list[Column]:
+def columns_of(df: DataFrame) -> list[Column]:
     """df's columns, whatever is in their names."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
@@ -73,7 +80,7 @@ def own(df: DataFrame) -> list[Column]:
 def row_mark(df: DataFrame) -> Column:
     """A 64-bit hash of all columns of a row, nulls told from each other's places; maps by their JSON."""
     parts = []
-    for c, field in zip(own(df), df.schema, strict=True):
+    for c, field in zip(columns_of(df), df.schema, strict=True):
         nested = field.dataType.simpleString()
         value = F.to_json(F.struct(c)) if "map<" in nested or "variant" in nested else c
         parts += [value, c.isNull()]
@@ -136,7 +143,7 @@ SPREAD_FROM = 200
 
 
 def lookup(rows: DataFrame, small: DataFrame, key: str, count: str, share: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
-    """rows left-joined to small (one row per key, count is how many rows have it), hot keys by broadcast.
+    """rows left-joined to small (one row per key at most, count is how many rows have it), hot keys by broadcast.
 
     A key with over 1/share of all rows (share_of the session) never meets in one task: those keys, share at most, are
     broadcast; the others go through an ordinary shuffled join. sizes: (key, count) where that is
@@ -147,4 +154,18 @@ def lookup(rows: DataFrame, small: DataFrame, key: str, count: str, share: int |
         return rows.join(small, key, "left")
     keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], small.select(key).schema))
     rest = rows.join(keys, key, "left_anti").join(small, key, "left")
-    return rows.join(F.broadcast(small.join(keys, key, "left_semi")), key, "inner").unionByName(rest)
+    return rows.join(keys, key, "left_semi").join(F.broadcast(small.join(keys, key, "left_semi")), key, "left").unionByName(rest)
+
+
+def once_each(marked: DataFrame, chosen: DataFrame, mark: str, count: str) -> DataFrame:
+    """One row for each mark in chosen (one row per mark, count is how many rows have it), with chosen's columns.
+
+    Rows of one mark are equal, so any will do. A mark of very many rows is thinned out where the rows are, before anything is sent.
+    """
+    hot = heavy_keys(chosen, mark, count)
+    if not hot:
+        return marked.join(chosen, mark).dropDuplicates([mark])
+    keys = F.broadcast(marked.sparkSession.createDataFrame([(k,) for k in hot], chosen.select(mark).schema))
+    rest = marked.join(keys, mark, "left_anti").join(chosen, mark).dropDuplicates([mark])
+    thick = marked.join(keys, mark, "left_semi").dropDuplicates([mark]).join(F.broadcast(chosen.join(keys, mark, "left_semi")), mark)
+    return rest.unionByName(thick)

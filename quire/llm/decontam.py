@@ -5,7 +5,8 @@ streamed through it; at each word the automaton knows the longest suffix of what
 occurs in an item. Where that reaches the window length, the words of the window are hit.
 
 Nulls: a null text has no words; a null item id counts as the id "null". Items or documents without
-words never match. Repeated items count once; repeated documents are each reported. Other columns
+words never match. Repeated items count once; repeated documents are each reported. Ties: a document
+with exactly max_coverage of its words hit stays. Texts are read whole, however long. Other columns
 pass through unchanged, whatever their names. Empty tables give empty results.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import as_bytes, by_batches, runs, sha_hex, slices
+from quire.llm.common import as_bytes, by_batches, columns_of, cut, fresh, lookup, runs, sha_hex, slices
 
 #: Bytes that belong to words once A-Z are lower-cased; all others become blanks.
 WORD_BYTES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -236,20 +237,24 @@ def find(docs: DataFrame, bench: DataFrame | list[Broadcast], *, text_col: str =
         made.append(by_batches(docs, scanned(shared), schema))
     if len(made) == 1:
         return made[0]
-    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("__digest")
+    key, got = fresh(docs, "__digest", "__got")
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias(key)
     hits = None
     for one in made:
-        one = one.select(digest, F.col(into)).filter(F.size(f"{into}.starts") > 0).dropDuplicates(["__digest"])
+        one = one.select(digest, F.col(into)).filter(F.size(f"{into}.starts") > 0).groupBy(key).agg(F.first(into).alias(into))
         hits = one if hits is None else hits.unionByName(one)
-    hits = hits.groupBy("__digest").agg(F.flatten(F.collect_list(f"{into}.starts")).alias("__s"), F.flatten(F.collect_list(f"{into}.ends")).alias("__e"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"{into}.items")))).alias("__i"))
-    base = made[0].withColumn("__digest", digest).join(hits, "__digest", "left")
+    found = F.struct(F.flatten(F.collect_list(f"{into}.starts")).alias("s"), F.flatten(F.collect_list(f"{into}.ends")).alias("e"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"{into}.items")))).alias("i"))
+    hits = cut(hits.groupBy(key).agg(found.alias(got)))
+    # a text of very many copies, with hits or without, stays where it is
+    copies = docs.select(digest).groupBy(key).agg(F.count("*").alias("n"))
+    base = lookup(made[0].withColumn(key, digest), hits, key, "n", sizes=copies)
     spans = F.aggregate(
-        F.array_sort(F.arrays_zip(F.col("__s").alias("s"), F.col("__e").alias("e"))),
+        F.array_sort(F.arrays_zip(F.col(f"{got}.s").alias("s"), F.col(f"{got}.e").alias("e"))),
         F.expr("cast(array() as array<struct<s: int, e: int>>)"),
         lambda acc, x: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["e"] >= x["s"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.try_element_at(acc, F.lit(-1))["s"].alias("s"), F.greatest(F.try_element_at(acc, F.lit(-1))["e"], x["e"]).alias("e"))))).otherwise(F.concat(acc, F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"))))),
     )
-    merged = F.when(F.col("__i").isNull(), F.col(into)).otherwise(F.struct(F.col(f"{into}.n_words").alias("n_words"), spans["s"].alias("starts"), spans["e"].alias("ends"), F.col("__i").alias("items")))
-    return base.select(*[F.col(f"`{c}`") for c in docs.columns], merged.alias(into))
+    merged = F.when(F.col(got).isNull(), F.col(into)).otherwise(F.struct(F.col(f"{into}.n_words").alias("n_words"), spans["s"].alias("starts"), spans["e"].alias("ends"), F.col(f"{got}.i").alias("items")))
+    return base.select(*columns_of(docs), merged.alias(into))
 
 
 def report(docs: DataFrame, bench: DataFrame, *, window: int = 10, id_col: str = "doc_id") -> DataFrame:
@@ -323,7 +328,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, window: int = 10, max_co
     if len(shared) == 1:
         one = shared[0]
         return by_batches(docs, at_once, docs.schema)
-    return by_batches(find(docs, shared, window=window, text_col=text_col), afterwards, docs.schema)
+    return by_batches(find(docs, shared, window=window, text_col=text_col, into=fresh(docs, "__hits")[0]), afterwards, docs.schema)
 
 
 def items_digest(items: list[str]) -> str:

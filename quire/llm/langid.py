@@ -6,8 +6,10 @@ over all its bytes; the shortest code names the language.
 
 Before coding, A-Z are lower-cased and runs of other ASCII bytes than letters become one blank; all
 other bytes are coded as they are. Nulls: a null text, or one without a letter, is `und` with score
-0. A null language is never learned from. With nothing to learn from, every text is `und`. Repeated
-rows are each scored. Only the id and the text reach the prediction; other columns are not read.
+0. A null language is never learned from. With nothing to learn from, every text is `und`. Ties go to
+the first language by name. Repeated rows are each scored, and learned from once. Texts are scored
+whole, however long. Only the text reaches the prediction; other columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -19,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, by_batches, crc_bucket, slices
+from quire.llm.common import as_bytes, by_batches, columns_of, crc_bucket, fresh, slices
 
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 #: Context bytes at most.
 ORDER = 3
 #: Bytes of text to learn from, for each language and for all together, and the longest text among them.
 SAMPLE_BYTES, SAMPLE_ALL, SAMPLE_TEXT = 1 << 20, 12 << 20, 1 << 18
-#: Languages at most, and entries of the table of code lengths.
-LANGUAGES, ENTRIES = 500, 24_000_000
+#: Languages at most, and entries of the table of code lengths: with more languages there are fewer contexts.
+LANGUAGES, ENTRIES = 20_000, 24_000_000
 BREAK = b" " * ORDER
 
 
@@ -49,7 +51,7 @@ class Trees:
         self.symbol[seen] = np.arange(len(seen))
         width, langs = self.width, len(self.names)
         coded = {name: self.symbol[s] for name, s in streams.items()}
-        most = max(width, entries // (width * langs))
+        most = max(1, entries // (width * langs))
         # Contexts by order: their codes (digits to the base width) and nodes; the root is node 0.
         levels = [np.zeros(1, np.int64)]
         for k in range(1, order + 1):
@@ -157,24 +159,23 @@ def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     room = min(SAMPLE_BYTES, SAMPLE_ALL // max(1, len(sizes)))
     texts: dict[str, list[bytes]] = {}
     if sizes:
-        share = F.lit(0)
-        for r in sizes:
-            share = F.when(F.col("l") == r["l"], F.lit(min(1 << 30, int((1 << 30) * room / max(1, r["n"]))))).otherwise(share)
-        for lang, text in sorted(rows.filter(F.col("h") < share).select("l", F.col("t").cast("binary")).collect()):
-            texts.setdefault(lang, []).append(bytes(text))
+        share = docs.sparkSession.createDataFrame([(r["l"], min(1 << 30, int((1 << 30) * room / max(1, r["n"])))) for r in sizes], "l string, share long")
+        chosen = rows.join(F.broadcast(share), "l").filter("h < share").select("l", "h", F.col("t").cast("binary").alias("t"))
+        for r in sorted(chosen.groupBy("l", "h").agg(F.min("t").alias("t")).collect()):  # a repeated text once
+            texts.setdefault(r["l"], []).append(bytes(r["t"]))
     return Trees(texts)
 
 
-def predict(docs: DataFrame, trees: Trees, *, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score in front of its own columns, as a struct column __lang."""
+def predict(docs: DataFrame, trees: Trees, *, text_col: str = "text", into: str = "__lang") -> DataFrame:
+    """docs with lang_pred and score in front of its own columns, as a struct column into."""
     shared, at = docs.sparkSession.sparkContext.broadcast(trees), docs.columns.index(text_col)
-    schema = docs.select(F.struct(F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).alias("__lang"), *[F.col(f"`{c}`") for c in docs.columns]).schema
+    schema = docs.select(F.struct(F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).alias(into), *columns_of(docs)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, scores = shared.value.predict(as_bytes(batch.column(at)))
             made = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
-            yield pa.RecordBatch.from_arrays([made, *batch.columns], ["__lang", *batch.schema.names])
+            yield pa.RecordBatch.from_arrays([made, *batch.columns], [into, *batch.schema.names])
 
     return by_batches(docs, run, schema)
 
@@ -187,4 +188,6 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """docs less those that no language is found for."""
-    return predict(docs, learn(docs.filter(crc_bucket("doc_id", 4) != 2))).filter("__lang.lang_pred != 'und'").drop("__lang")
+    (into,) = fresh(docs, "__lang")
+    found = predict(docs, learn(docs.filter(crc_bucket("doc_id", 4) != 2)), into=into)
+    return found.filter(F.col(into)["lang_pred"] != "und").select(*columns_of(docs))

@@ -8,11 +8,15 @@ them. Rates are then rounded into whole copies, largest sizes first, each roundi
 words that the ones before took too many or too few.
 
 Documents of one source and size are alike to the mix, so all work but the last is on counts of such
-cells. Sums are exact decimals: reruns and other partitionings agree. DataFrame functions only.
+cells. A cell's documents are ranked in parts of about TOGETHER; a document that is there very often is
+ranked as one with its count. Sums are exact decimals: reruns and other partitionings agree. DataFrame
+functions only.
 
 Nulls: a null text has size 0 and takes nothing; documents of null source form a source of their own.
-Sources without words have target 0. Repeated rows are documents like any other. An empty table gives
-an empty result. Other columns are not read.
+Sources without words have target 0. Repeated rows are documents like any other, and interchangeable.
+Ties: of documents of one size those with the least hash of id and text get the copies that are over. A
+text's words must fit a row. An empty table gives an empty result. Other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -23,12 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, lookup
+from quire.llm.common import columns_of, cut, fresh, heavy_keys, lookup, once_each, row_mark
 
 BLANKS = " \t\n\x0b\f\r"
 EXACT = "decimal(38,9)"
 #: Documents of a cell that are ranked together.
-TOGETHER = 1000
+TOGETHER = 250
 
 
 def words_of(text: Column) -> Column:
@@ -114,16 +118,41 @@ def copies(rows: DataFrame, *, id_col: str = "doc_id", weights: tuple[int, ...]
     counted = _rounded(rated, most=most).join(wanted.select("s", "source_size", "target"), "s")
     cell = F.concat_ws(" ", "size", "s").alias("cell")
     counted = cut(counted.select(cell, "n", "k", "source_size", "target"))
+    # one document over and over is one unit of m rows
+    rows = rows.select("*", cell)
+    repeats = rows.groupBy("h").agg(F.count("*").alias("m"))
+    hot = heavy_keys(repeats, "h", "m")
+    units = rows.select("*", F.lit(1).cast("bigint").alias("m"))
+    if hot:
+        keys = F.broadcast(rows.sparkSession.createDataFrame([(h,) for h in hot], "h bigint"))
+        names = [c for c in rows.columns if c not in ("h", "cell")]
+        again = rows.join(keys, "h", "left_semi")
+        each = again.groupBy("cell", "h").agg(*[F.first(c).alias(c) for c in names], F.count("*").alias("m"))
+        units = units.join(keys, "h", "left_anti").unionByName(each)
     part = F.pmod(F.col("h"), F.greatest(F.col("n").cast("long") / TOGETHER, F.lit(1)).cast("long")).alias("part")
-    dealt = cut(lookup(rows.select("*", cell), counted, "cell", "n").select("*", part))
-    parts = dealt.groupBy("cell", "part").agg(F.count("*").alias("own"), F.first("n").alias("n"), F.first("k").alias("k"))
+    dealt = cut(lookup(units, counted, "cell", "n").select("*", part))
+    parts = dealt.groupBy("cell", "part").agg(F.sum("m").alias("own"), F.first("n").alias("n"), F.first("k").alias("k"))
     so_far = F.sum("own").over(W.partitionBy("cell").orderBy("part"))
     extra = F.col("k") % F.col("n")
     share_of = lambda c: F.floor(extra.cast("decimal(38,0)") * c / F.col("n"))
     parts = parts.select("*", so_far.alias("c")).select("cell", "part", (share_of(F.col("c")) - share_of(F.col("c") - F.col("own"))).cast("bigint").alias("extra"))
-    ranked = dealt.join(parts, ["cell", "part"]).select("*", F.row_number().over(W.partitionBy("cell", "part").orderBy("h", id_col)).alias("rank"))
-    taken = F.floor(F.col("k") / F.col("n")).cast("bigint") + (F.col("rank") <= F.col("extra")).cast("bigint")
-    return ranked.select("*", taken.alias("copies")).drop("s", "cell", "part", "extra", "rank", "n", "k")
+    upto = F.sum("m").over(W.partitionBy("cell", "part").orderBy("h", id_col).rowsBetween(W.unboundedPreceding, 0))
+    ranked = dealt.join(parts, ["cell", "part"]).select("*", upto.alias("upto"))
+    whole = F.floor(F.col("k") / F.col("n")).cast("bigint")
+    over = F.least(F.greatest(F.col("extra") - F.col("upto") + F.col("m"), F.lit(0)), F.col("m"))
+    out = [*[c for c in rows.columns if c not in ("s", "cell")], "source_size", "target"]
+    if not hot:
+        return ranked.select(*out, (whole + over).alias("copies"))
+    ranked = cut(ranked.select("*", whole.alias("whole"), over.alias("over")))
+    single = ranked.join(keys, "h", "left_anti").select(*out, (F.col("whole") + F.col("over")).alias("copies"))
+    # rows of a unit are numbered where they are stored, and the numbers of other places added
+    placed = again.select("*", F.spark_partition_id().alias("place"))
+    before = W.partitionBy("cell", "h").orderBy("place")
+    first = placed.groupBy("cell", "h", "place").agg(F.count("*").alias("here")).select("cell", "h", "place", (F.sum("here").over(before) - F.col("here")).alias("before"))
+    number = F.row_number().over(W.partitionBy("cell", "h", "place").orderBy("h")) + F.col("before")
+    told = F.broadcast(ranked.join(keys, "h", "left_semi").select("cell", "h", "source_size", "target", "whole", "over"))
+    many = placed.join(first, ["cell", "h", "place"]).select("*", number.alias("number")).join(told, ["cell", "h"])
+    return single.unionByName(many.select(*out, (F.col("whole") + (F.col("number") <= F.col("over")).cast("bigint")).alias("copies")))
 
 
 def sized(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -135,12 +164,14 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, most: int = 3) -> DataFrame:
-    """docs with each document as often as the mix takes it; a column copy_no (1, 2, ...) comes last.
+    """docs with each document as often as the mix takes it; a column copy_no (1, 2, ...) comes last (copy_no_ where docs has one).
 
-    Rows of equal id and text are one document here, which gets the copies of all of them.
+    Rows that are equal in all columns are one document here, which gets the copies of all of them.
     """
-    keys = [F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("__id"), F.xxhash64(text_col).alias("__sig")]
-    narrow = docs.select(*keys, F.col(source_col).alias("source"), F.size(words_of(F.col(text_col))).cast("bigint").alias("size"), F.xxhash64(id_col, text_col).alias("h"))
-    got = copies(narrow, id_col="__id", weights=weights, share=share, most=most).groupBy("__id", "__sig").agg(F.sum("copies").alias("__copies")).filter("__copies > 0")
-    rows = docs.select("*", *keys).join(got, ["__id", "__sig"]).dropDuplicates(["__id", "__sig"])
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("copy_no"))
+    mark, made, count, number = fresh(docs, "__mark", "__copies", "__count", "copy_no")
+    marked = docs.select("*", row_mark(docs).alias(mark))
+    narrow = marked.select(F.col(mark).alias("mark"), F.col(source_col).alias("source"), F.size(words_of(F.col(text_col))).cast("bigint").alias("size"), F.xxhash64(id_col, text_col).alias("h"))
+    got = copies(narrow, id_col="mark", weights=weights, share=share, most=most).groupBy("mark").agg(F.sum("copies").alias(made), F.count("*").alias(count))
+    got = cut(got.filter(F.col(made) > 0).withColumnRenamed("mark", mark))
+    rows = once_each(marked, got, mark, count)
+    return rows.select(*columns_of(docs), F.explode(F.sequence(F.lit(1), F.col(made).cast("int"))).alias(number))

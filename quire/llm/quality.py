@@ -8,8 +8,9 @@ chunk; the chunks' mean and greatest responses are combined by a logistic unit i
 Training: stochastic gradient steps (Adam) on a bounded, stratified sample of labelled texts, with a
 fixed seed. Texts of the sample are read whole. Nulls: a null text is empty; the empty text is one
 chunk of padding and has a score like any other. Without two kinds of labels to learn from, the score
-is the share of label 1 (0.5 if there are none). Repeated rows are each scored. Only id and text reach
-a score; other columns are not read. Empty tables give empty results.
+is the share of label 1 (0.5 if there are none). Repeated rows are each scored; of texts or labels of
+one id one is learned from, the least. Ties: a score at the bound counts as label 1. Only the text
+reaches a score; other columns are not read, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, by_batches, crc_bucket, slices
+from quire.llm.common import as_bytes, by_batches, columns_of, crc_bucket, fresh, slices
 
 WIDTH, FILTERS, CHUNK = 5, 16, 256
 HALF = CHUNK // 2
@@ -88,7 +89,7 @@ class Network:
     def train(self, texts: list[bytes], y: np.ndarray, *, epochs: int = EPOCHS, seed: int = SEED) -> None:
         pick = np.random.default_rng(seed)
         share = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
-        chunks = [_chunks(t) for t in texts]
+        made = [_chunks(t) for t in texts]
         names = ("table", "bias", "out", "offset")
         m = {k: np.zeros_like(getattr(self, k)) for k in names}
         v = {k: np.zeros_like(getattr(self, k)) for k in names}
@@ -97,9 +98,10 @@ class Network:
             order = pick.permutation(len(texts))
             for s in range(0, len(order), BATCH):
                 rows = order[s : s + BATCH]
-                data = np.concatenate([chunks[r] for r in rows])
-                n = np.array([len(chunks[r]) for r in rows])
-                grads = self._gradients(data, n, y[rows], share[rows])
+                data = np.concatenate([made[r][0] for r in rows])
+                places = np.concatenate([made[r][1] for r in rows])
+                n = np.array([len(made[r][0]) for r in rows])
+                grads = self._gradients(data, places, n, y[rows], share[rows])
                 t += 1
                 for k in names:
                     m[k] = 0.9 * m[k] + 0.1 * grads[k]
@@ -107,13 +109,18 @@ class Network:
                     move = RATE * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-6)
                     setattr(self, k, (getattr(self, k) - move).astype(np.float32))
 
-    def _gradients(self, data: np.ndarray, n: np.ndarray, y: np.ndarray, share: np.ndarray) -> dict[str, np.ndarray]:
-        """data: (chunks, CHUNK + WIDTH - 1) bytes of a batch's texts, n chunks of each."""
+    def _pooled(self, data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each chunk's filters respond most, and how much; places past a chunk's own don't count."""
         z = self.table[0][data[:, :CHUNK]]
         for k in range(1, WIDTH):
             z += self.table[k][data[:, k : k + CHUNK]]
+        z[np.arange(CHUNK) >= places[:, None]] = -np.inf
         at = z.argmax(1)
-        top = np.take_along_axis(z, at[:, None], 1)[:, 0] + self.bias
+        return at, np.take_along_axis(z, at[:, None], 1)[:, 0] + self.bias
+
+    def _gradients(self, data: np.ndarray, places: np.ndarray, n: np.ndarray, y: np.ndarray, share: np.ndarray) -> dict[str, np.ndarray]:
+        """data: (chunks, CHUNK + WIDTH - 1) bytes of a batch's texts, places in each chunk, n chunks of each text."""
+        at, top = self._pooled(data, places)
         live = np.maximum(top, 0)
         edge = np.cumsum(n) - n
         of = np.repeat(np.arange(len(n)), n)
@@ -135,20 +142,16 @@ def _tight(begin: np.ndarray, stop: np.ndarray) -> bool:
     return bool((begin[1:] == stop[:-1]).all())
 
 
-def _chunks(text: bytes) -> np.ndarray:
-    """A text's overlapping chunks; places past its end repeat the first byte's place, which changes no maximum."""
+def _chunks(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A text's overlapping chunks, and how many places each has: as many as score() pools."""
     data = np.frombuffer((text or b"\0") + b"\0" * (WIDTH - 1), np.uint8)
     places = len(data) - WIDTH + 1
-    blocks = -(-places // HALF)
-    starts = np.arange(max(1, blocks - 1)) * HALF
+    starts = np.arange(max(1, -(-places // HALF) - 1)) * HALF
     whole = np.zeros((len(starts), CHUNK + WIDTH - 1), np.uint8)
     for i, s in enumerate(starts):
-        own = data[s : s + CHUNK + WIDTH - 1]
-        whole[i, : len(own)] = own
-        if len(own) < whole.shape[1]:  # a short end: fill with the chunk's own text over again
-            fill = np.resize(own[: max(1, len(own) - WIDTH + 1)], whole.shape[1] - len(own))
-            whole[i, len(own) :] = fill
-    return whole
+        piece = data[s : s + CHUNK + WIDTH - 1]
+        whole[i, : len(piece)] = piece
+    return whole, np.minimum(places - starts, CHUNK)
 
 
 class Constant:
@@ -163,7 +166,7 @@ class Constant:
 
 def learn(docs: DataFrame, labels: DataFrame, *, label: str = "quality") -> Network | Constant:
     """From labels (doc_id, label 0 or 1) and the texts they are of; about SAMPLE of either kind, chosen by hash of the id."""
-    known = labels.filter(f"doc_id is not null and `{label}` in (0, 1)").select("doc_id", F.col(label).cast("int").alias("y")).dropDuplicates(["doc_id"])
+    known = labels.filter(f"doc_id is not null and `{label}` in (0, 1)").groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("y"))
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Constant(float(next(iter(sizes), 0.5)))
@@ -171,7 +174,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, label: str = "quality") -> Netw
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     known = known.filter(h < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))  # 2 * SAMPLE rows
     rows = docs.filter(F.octet_length("text") <= SAMPLE_TEXT).select("doc_id", F.col("text").cast("binary").alias("t")).join(F.broadcast(known), "doc_id")
-    got = sorted((r["doc_id"], bytes(r["t"]), r["y"]) for r in rows.collect())
+    # however often an id is there: no more rows than known has, of SAMPLE_TEXT bytes at most
+    got = sorted((r["doc_id"], bytes(r["t"]), r["y"]) for r in rows.groupBy("doc_id", "y").agg(F.min("t").alias("t")).collect())
     y = np.array([g[2] for g in got], np.float32)
     if not 0 < y.sum() < len(y):
         return Constant(float(y.mean()) if len(y) else sizes[1] / (sizes[0] + sizes[1]))
@@ -183,7 +187,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, label: str = "quality") -> Netw
 def scored(docs: DataFrame, net: Network | Constant, *, text_col: str = "text", into: str = "__quality") -> DataFrame:
     """docs with the score in a column in front."""
     shared, at = docs.sparkSession.sparkContext.broadcast(net), docs.columns.index(text_col)
-    schema = docs.select(F.lit(0.0).alias(into), *[F.col(f"`{c}`") for c in docs.columns]).schema
+    schema = docs.select(F.lit(0.0).alias(into), *columns_of(docs)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,4 +205,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, net: Network | Constant, *, least: float = 0.3) -> DataFrame:
     """docs that score least or more."""
-    return scored(docs, net).filter(F.col("__quality") >= least).drop("__quality")
+    (into,) = fresh(docs, "__quality")
+    return scored(docs, net, into=into).filter(F.col(into) >= least).select(*columns_of(docs))

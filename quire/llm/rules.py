@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, fresh, lookup, own, row_mark
+from quire.llm.common import columns_of, cut, fresh, lookup, row_mark
 from quire.llm.mixing import words_of
 
 #: Measures in thousandths: numerator, denominator, one event in units of the numerator, whether low values fail too.
@@ -150,4 +150,4 @@ def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
     marked = docs.select("*", row_mark(docs).alias(mark))
     narrow = marked.select(F.col(mark).alias("mark"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
     good = judged(measured(narrow, keep=["mark", "lang", "source"])).filter("kept").select(F.col("mark").alias(mark)).distinct()
-    return marked.join(good, mark, "left_semi").select(*own(docs))
+    return marked.join(good, mark, "left_semi").select(*columns_of(docs))

@@ -3,13 +3,15 @@
 Labelled credentials are the matches of the fixed patterns in a sample of the documents together with
 examples in published formats. For each kind a prefix tree of their symbols is folded into a
 probabilistic automaton by merging states whose futures agree within Hoeffding bounds (ALERGIA).
-Every candidate token of every document is then scored: its mean log likelihood under the likeliest
-automaton less that under a background model of ordinary tokens. Tokens that pass become spans of
-kind `format`, beside those of the fixed patterns, which always stay.
+Every token of LEAST characters or more in every document, of whatever characters, is a candidate and
+is scored: its mean log likelihood under the likeliest automaton less that under a background model of
+ordinary tokens. Tokens that pass become spans of kind `format`, beside those of the fixed patterns,
+which always stay.
 
 Symbols: a digit, a-f, g-z, A-F and G-Z are one symbol each, the characters of a known prefix and
 all others stand for themselves. Nulls: a null text is empty and has no spans. Repeated rows are each
-scanned. Other columns pass through unread. Empty tables give empty results.
+scanned. Ties: a score equal to MARGIN is no secret. Texts are scanned whole, however long. Other columns
+pass through unread, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -35,9 +37,6 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-HEX_BYTES = bytes(0x68 if chr(b) in "0123456789abcdef" else 0x20 for b in range(256))
-TOKEN_BYTES = bytes(0x30 if 0x30 <= b <= 0x39 else 0x61 if chr(b).isalpha() and b < 0x80 or chr(b) in "+/_=-" else 0x20 for b in range(256))
-TOKEN_RUN = re.compile(rb"[0a]{16,}")
 
 #: Published credential formats, fixed values: prefix, alphabet of the rest, length of the rest.
 FORMATS = {
@@ -50,7 +49,6 @@ FORMATS = {
     "md5": ("", "0123456789abcdef", 32),
 }
 PREFIXES = tuple(p for p, _, _ in FORMATS.values() if p)
-PREFIX_BYTES = tuple(p.encode() for p in PREFIXES)
 #: Characters of a token at least; what stands between its signs.
 LEAST = 16
 PART = re.compile(r"[^/=]{16,}")
@@ -75,13 +73,10 @@ def suspicious(text: bytes) -> bool:
     """Whether any pattern or candidate can be there; exact for none."""
     if not text:
         return False
-    runs = text.translate(TOKEN_BYTES)
-    if b"0" in runs and (any(b"0" in m[0] and b"a" in m[0] for m in TOKEN_RUN.finditer(runs))):
+    if TOKEN_IN.search(text):
         return True
-    if any(p in text for p in PREFIX_BYTES):
-        return True
-    low = text.lower()
-    return b"AKIA" in text or any(w in low for w in WORDS) or b"h" * 32 in text.translate(HEX_BYTES)
+    low = text.lower()  # the other patterns' matches may be shorter than a token
+    return any(w in low for w in WORDS)
 
 
 def symbols(token: str, prefixes: tuple[str, ...]) -> list[str]:
@@ -216,6 +211,10 @@ def ordinary_examples(seed: int = 8) -> list[str]:
         lambda: number() + number() + number() + number(),
         lambda: word().upper() + "_" + word().upper() + "_" + number() + "_" + word().upper(),
         lambda: word() * 3 + number(),
+        lambda: "".join(word() for _ in range(5)),
+        lambda: "".join(word().capitalize() for _ in range(4)),
+        lambda: pick.choice("-_/").join(word() for _ in range(5)),
+        lambda: word().upper() + "_" + word().upper() + "_" + word().upper(),
     )
     return [makes[i % len(makes)]() for i in range(60 * len(makes))]
 
@@ -237,14 +236,18 @@ class Formats:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """(start, end) of the tokens, less what base spans cover."""
+    """(start, end) of the tokens, less what base spans (in order of start) cover; both are read once."""
+    k = 0
     for m in TOKEN.finditer(text):
         at = m.start()
-        for s, _, e in base:
-            if s < m.end() and at < e:
-                if s - at >= LEAST:
-                    yield at, s
-                at = e
+        while k < len(base) and base[k][0] < m.end():
+            s, _, e = base[k]
+            if s - at >= LEAST:
+                yield at, s
+            at = max(at, e)
+            if e > m.end():  # may cover the next token too
+                break
+            k += 1
         if m.end() - at >= LEAST:
             yield at, m.end()
 
@@ -267,10 +270,10 @@ def parts(token: str) -> Iterator[tuple[int, int]]:
 
 def found_in(token: str, formats: Formats) -> list[tuple[int, int]]:
     """Parts that are secrets, those that touch as one; the whole token where it is one."""
-    if len(token) <= LONGEST and mixed(token) and formats.secret(token):
+    if len(token) <= LONGEST and formats.secret(token):
         return [(0, len(token))]
     out: list[tuple[int, int]] = []
-    for s, e in sorted(x for x in parts(token) if mixed(token[x[0] : x[1]]) and formats.secret(token[x[0] : x[1]])):
+    for s, e in sorted(x for x in parts(token) if formats.secret(token[x[0] : x[1]])):
         if out and s <= out[-1][1]:
             out[-1] = (out[-1][0], max(e, out[-1][1]))
         else:
@@ -278,11 +281,6 @@ def found_in(token: str, formats: Formats) -> list[tuple[int, int]]:
     return out
 
 
-def mixed(token: str) -> bool:
-    """Whether digits and letters are there; a known prefix does without."""
-    return any(c.isalpha() for c in token) and (any(c.isdigit() for c in token) or token.startswith(PREFIXES))
-
-
 def spans(text: bytes, formats: Formats | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Spans of the fixed patterns, and those that the formats add; kind 3 is `format`. Ends exclusive, in code points."""
     if not suspicious(text):
@@ -362,11 +360,11 @@ def _ordinary(shared):
     return run
 
 
-def scanned(docs: DataFrame, formats: Formats | None, *, text_col: str = "text", redact: str | None = None, count_col: str | None = None) -> DataFrame:
-    """docs with a struct __secrets (counts, base_sha256, spans) in front, or with spans replaced by redact in the text."""
+def scanned(docs: DataFrame, formats: Formats | None, *, text_col: str = "text", redact: str | None = None, count_col: str | None = None, into: str = "__secrets") -> DataFrame:
+    """docs with a struct into (counts, base_sha256, spans) in front, or with spans replaced by redact in the text."""
     shared, at, names = docs.sparkSession.sparkContext.broadcast(formats), docs.columns.index(text_col), docs.columns
     counted = names.index(count_col) if count_col is not None else None
-    made = T._parse_datatype_string("__secrets struct<n_assign: bigint, n_access: bigint, n_hex: bigint, base_sha256: string, spans: string>")
+    made = T._parse_datatype_string(f"`{into}` struct<n_assign: bigint, n_access: bigint, n_hex: bigint, base_sha256: string, spans: string>")
     kind = pa.struct([("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("spans", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,7 +385,7 @@ def scanned(docs: DataFrame, formats: Formats | None, *, text_col: str = "text",
                     out.append(text[end:])
                     changed[i] = "".join(out)
             if redact is None:
-                yield pa.RecordBatch.from_arrays([pa.array(rows, kind), *batch.columns], ["__secrets", *batch.schema.names])
+                yield pa.RecordBatch.from_arrays([pa.array(rows, kind), *batch.columns], [into, *batch.schema.names])
                 continue
             columns = batch.columns
             if changed:

@@ -13,7 +13,9 @@ itself, which hold 4096 different fingerprints at most.
 
 Nulls: a null text has no words, fingerprint zero, and is linked like any other. Equal texts share a
 fingerprint; a null doc_id gets a component but never names one (null only if all of its ids are).
-Other columns are not read. Empty tables give empty results.
+Ties: a bit set in exactly half of the shingles is 0; of rows with one id the least hash of the whole
+row stays, and of wholly equal rows one. Texts are read whole, however long. Other columns are not
+read, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, by_batches, cut, lookup, slices
+from quire.llm.common import as_bytes, by_batches, columns_of, cut, fresh, lookup, once_each, row_mark, slices
 from quire.llm.graph import components
 
 CELL = 8192
@@ -79,9 +81,10 @@ def _fingerprints(texts: list[bytes | None], shingle: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id_col, sig, fp): sig a 64-bit hash of the text, fp the fingerprint as a signed 64-bit integer."""
-    chosen = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("sig"), F.col(text_col).alias("t"))
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sig_col: str | None = None, shingle: int = 3) -> DataFrame:
+    """(id_col, sig, fp): sig a 64-bit hash of the text (or sig_col), fp the fingerprint as a signed 64-bit integer."""
+    sig = F.xxhash64(text_col) if sig_col is None else F.col(sig_col)
+    chosen = docs.select(F.col(id_col).alias("i"), sig.alias("sig"), F.col(text_col).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,9 +221,9 @@ def links(points: DataFrame, *, most: int = 3, limit: int = CELL) -> DataFrame:
     return sound.unionByName(_meet(hot, F.col("fp"), masks([4] * 16, most), most, None)).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sig_col: str | None = None, shingle: int = 3, most: int = 3) -> DataFrame:
     """(id_col, sig, fp, component_id) for each row: the least id reachable over links of at most `most` bits."""
-    of = cut(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))
+    of = cut(fingerprints(docs, id_col=id_col, text_col=text_col, sig_col=sig_col, shingle=shingle))
     points = cut(of.groupBy("fp").agg(F.min(id_col).alias("__first"), F.count("*").alias("__n")))
     star = components(links(points.select("fp"), most=most))
     star = cut(star.select(F.col("node").alias("fp"), "root").join(points.select("fp", "__first"), "fp"))
@@ -235,10 +238,12 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component: that with the least id (null last), of those the least text hash, once."""
-    near = near_duplicates(docs.select(id_col, text_col), id_col=id_col, text_col=text_col)
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null")).alias("__id")
-    first = near.groupBy("component_id").agg(F.min(F.struct(F.col(id_col).isNull().alias("o"), F.col(id_col).alias("i"), "sig")).alias("m"))
-    first = first.select(name("m.i"), F.col("m.sig").alias("__sig"))
-    rows = docs.select("*", name(id_col), F.xxhash64(text_col).alias("__sig"))
-    return rows.join(first, ["__id", "__sig"], "left_semi").dropDuplicates(["__id", "__sig"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs with one row of each component: that with the least id (null last), of those the least hash of the whole row, once."""
+    mark, count = fresh(docs, "__mark", "__count")
+    marked = docs.select("*", row_mark(docs).alias(mark))
+    near = near_duplicates(marked.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(mark).alias("m")), id_col="i", text_col="t", sig_col="m")
+    # equal rows first, where they are: a component may be made of few rows, over and over
+    near = near.groupBy("component_id", "i", "sig").agg(F.count("*").alias("n"))
+    first = near.groupBy("component_id").agg(F.min(F.struct(F.col("i").isNull().alias("o"), "i", "sig", "n")).alias("m"))
+    first = cut(first.select(F.col("m.sig").alias(mark), F.col("m.n").alias("n")).groupBy(mark).agg(F.sum("n").alias(count)))
+    return once_each(marked, first, mark, count).select(*columns_of(docs))

@@ -8,8 +8,10 @@ phrases, longer entries, take the words they cover out of the count. The weights
 normalised by the text's length, and a logistic curve fitted to the labelled texts gives the score.
 
 Nulls: a null or empty text finds nothing and gets the score of that. Without toxic labels to learn
-from the lexicon is empty and every score is 0. Repeated rows are each scored. Only id and text reach
-a score; other columns are not read. Empty tables give empty results.
+from the lexicon is empty and every score is 0. Repeated rows are each scored; of texts or labels of
+one id one is learned from, the least. Ties: a score at the bound is toxic. Texts are scored whole,
+however long. Only the text reaches a score; other columns are not read, whatever their names. Empty
+tables give empty results.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -24,9 +27,10 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, by_batches, crc_bucket
+from quire.llm.common import as_bytes, by_batches, columns_of, crc_bucket, fresh
 
 #: Letters of other scripts that look like Latin ones, fixed values.
 HOMOGLYPHS = {
@@ -41,8 +45,8 @@ SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i", "+": "t"}
 INNER = re.compile(r"(?<=[^\W_])[@$!|+](?=[^\W_])")
 #: Harmless phrases with words that are otherwise counted.
 EXCEPTIONS = ("trash can", "trash bin", "trash day", "clown fish", "circus clown", "stupid simple", "pond scum", "soap scum", "scum line")
-#: Labelled texts to learn from, of either kind (in expectation), and the longest text.
-SAMPLE, SAMPLE_TEXT = 3000, 1 << 18
+#: Labelled texts to learn from, of either kind (in expectation), the longest text, and bytes of either kind at most.
+SAMPLE, SAMPLE_TEXT, SAMPLE_BYTES = 3000, 1 << 18, 32 << 20
 #: Different neighbours that a lexicon word needs among toxic texts, and its least weight.
 SUPPORT, LEAST = 3, 1.0
 
@@ -109,7 +113,14 @@ class Lexicon:
         hits, spared = [], []
         for end, (n, x) in self.trie.iter(folded):
             (hits if x else spared).append((end - n + 1, end, x))
-        return sum(x for s, e, x in hits if not any(a <= s and e <= b for a, b, _ in spared))
+        if not spared:
+            return sum(x for _, _, x in hits)
+        spared.sort()
+        starts, reach = [a for a, _, _ in spared], []
+        for _, b, _ in spared:  # how far the exceptions that begin up to here go
+            reach.append(max(b, reach[-1]) if reach else b)
+        covered = lambda s, e: (k := bisect_right(starts, s)) > 0 and e <= reach[k - 1]
+        return sum(x for s, e, x in hits if not covered(s, e))
 
     def amount(self, folded: str) -> float:
         """What is found, normalised by length: full for a hundred words, less for more."""
@@ -169,22 +180,26 @@ def fit(toxic: list[bytes], clean: list[bytes], exceptions: tuple[str, ...] = EX
 
 def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     """From labels (doc_id, toxic) and the texts they are of; about SAMPLE of either kind, chosen by hash of the id."""
-    known = labels.filter("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    known = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.min(F.col("toxic").cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = {k: int((1 << 30) * min(1.0, SAMPLE / max(1, sizes.get(k, 0)))) for k in (0, 1)}
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     known = known.filter(h < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))  # 2 * SAMPLE rows
     rows = docs.filter(F.octet_length("text") <= SAMPLE_TEXT).select("doc_id", F.col("text").cast("binary").alias("t")).join(F.broadcast(known), "doc_id")
-    own: tuple[list, list] = ([], [])
+    # however often an id is there, no more rows than known has; of these, whole texts up to SAMPLE_BYTES
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("t").alias("t"))
+    upto = F.sum(F.octet_length("t")).over(W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    rows = rows.select("*", upto.alias("upto")).filter(F.col("upto") <= SAMPLE_BYTES)
+    texts: tuple[list, list] = ([], [])
     for _, t, k in sorted((r["doc_id"], bytes(r["t"]), r["toxic"]) for r in rows.collect()):
-        own[k].append(t)
-    return fit(own[1], own[0])
+        texts[k].append(t)
+    return fit(texts[1], texts[0])
 
 
 def scored(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", into: str = "__toxic") -> DataFrame:
     """docs with the score in a column in front."""
     shared, at = docs.sparkSession.sparkContext.broadcast(lexicon), docs.columns.index(text_col)
-    schema = docs.select(F.lit(0.0).alias(into), *[F.col(f"`{c}`") for c in docs.columns]).schema
+    schema = docs.select(F.lit(0.0).alias(into), *columns_of(docs)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,4 +217,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_civil(docs: DataFrame, lexicon: Lexicon, *, most: float = 0.7) -> DataFrame:
     """docs that score less than most."""
-    return scored(docs, lexicon).filter(F.col("__toxic") < most).drop("__toxic")
+    (into,) = fresh(docs, "__toxic")
+    return scored(docs, lexicon, into=into).filter(F.col(into) < most).select(*columns_of(docs))

@@ -36,12 +36,13 @@ def test_gradients_are_right():
     net, pick = quality.Network(2), np.random.default_rng(1)
     data = pick.integers(1, 256, (5, quality.CHUNK + quality.WIDTH - 1)).astype(np.uint8)
     n, y, share = np.array([2, 3]), np.array([1.0, 0.0]), np.array([1.0, 1.0])
-    g = net._gradients(data, n, y, share)
+    places = np.array([256, 200, 256, 256, 3])
+    g = net._gradients(data, places, n, y, share)
 
     def loss():
         total, at = 0.0, 0
         for size, label in zip(n, y, strict=True):
-            z = [sum(net.table[k][c[k : k + quality.CHUNK]] for k in range(quality.WIDTH)).max(0) + net.bias for c in data[at : at + size]]
+            z = [sum(net.table[k][c[k : k + quality.CHUNK]] for k in range(quality.WIDTH))[:m].max(0) + net.bias for c, m in zip(data[at : at + size], places[at : at + size], strict=True)]
             live = np.maximum(np.array(z), 0)
             p = 1 / (1 + np.exp(-(np.concatenate([live.mean(0), live.max(0)]) @ net.out + net.offset)))
             total -= np.log(p if label else 1 - p) / len(n)
@@ -124,3 +125,22 @@ def test_features_do_not_depend_on_the_batch():
     net = quality.Network()
     alone = np.concatenate([net.features([t]) for t in texts])
     assert np.allclose(net.features(texts), alone, atol=1e-5)
+
+
+def test_training_sees_what_scoring_sees():
+    net, pick = quality.Network(3), random.Random(6)
+    net.bias += 0.1
+    for n in (0, 1, 2, 5, 20, 127, 128, 129, 200, 256, 257, 300, 384, 385, 1000, 5000):
+        text = bytes(pick.randrange(1, 256) for _ in range(n))
+        data, places = quality._chunks(text)
+        live = np.maximum(net._pooled(data, places)[1], 0)
+        assert np.allclose(np.concatenate([live.mean(0), live.max(0)]), net.features([text])[0], atol=1e-4), n
+
+
+def test_repeated_ids_are_learned_from_once(spark):
+    docs, labels = corpus()
+    d, lb = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    again = d.unionByName(d.filter("doc_id % 3 = 0")).unionByName(d.filter("doc_id % 3 = 0"))
+    assert toxicity.learn(again, lb.unionByName(lb)).weights == toxicity.learn(d, lb).weights
+    one, two = quality.learn(d, lb), quality.learn(again, lb.unionByName(lb))
+    assert np.array_equal(one.table, two.table)

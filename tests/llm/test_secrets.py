@@ -86,3 +86,52 @@ def test_all_ordinary_tokens_make_the_background(spark, monkeypatch):
     whole = secrets.learn(docs).background.pairs
     monkeypatch.setattr(secrets, "SAMPLE_DOCS", 1)
     assert secrets.learn(docs).background.pairs == whole and whole.total() > before + 300 * 20
+
+
+def plain_formats(text, formats):
+    """Every token and part of one scored by itself, spans subtracted character by character."""
+    free = [True] * len(text)
+    for s, _, e in secrets.base_spans(text):
+        free[s:e] = [False] * (e - s)
+    hit = set()
+    score = lambda s, e: formats.score(text[s:e]) > secrets.MARGIN
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
+        for run in re.finditer("1{16,}", "".join("01"[x] for x in free[m.start() : m.end()])):
+            a, b = m.start() + run.start(), m.start() + run.end()
+            own = {(a, b)} if b - a <= 64 else set()
+            if not any(score(*x) for x in own):
+                own = set()
+                for prefix, _, n in secrets.FORMATS.values():
+                    own |= {(i, i + len(prefix) + n) for i in range(a, b - len(prefix) - n + 1) if prefix and text.startswith(prefix, i)}
+                for x in re.finditer("[^/=]{16,}", text[a:b]):
+                    w = min(64, x.end() - x.start())
+                    own |= {(a + i, a + i + w) for i in range(x.start(), x.end() - w + 1)}
+            for s, e in own:
+                if score(s, e):
+                    hit |= set(range(s, e))
+    return hit
+
+
+def test_spans_are_those_of_a_plain_scorer():
+    formats, pick = secrets.Formats(secrets.examples()), random.Random(5)
+    fresh = [v for own in secrets.examples(seed=99).values() for v in own[:6]]
+    ordinary = secrets.ordinary_examples(seed=98)[:80]
+    found = 0
+    for _ in range(150):
+        words = [pick.choice([pick.choice(fresh), pick.choice(ordinary), "word", "password=abcd1234efgh", "é"]) for _ in range(8)]
+        text = "".join(w + pick.choice([" ", "/", "=", "", "."]) for w in words)
+        got = {i for s, k, e in secrets.spans(text.encode(), formats)[1] for i in range(s, e)}
+        assert got == plain_formats(text, formats), text
+        found += len(got) > 0
+    assert found > 50
+
+
+def test_candidates_without_digits_and_overlapping_spans():
+    formats = secrets.Formats(secrets.examples())
+    assert secrets.spans(b"see AbCdEfGhIjKlMnOpQrStUvWx there", formats)[1]
+    for word in ("Geschwindigkeitsbegrenzungen", "internationalisation", "TheQuickBrownFoxJumps", "all-lower-case-words-in-a-row", "4929963689861572", "CONSTANT_NAME_OF_SOMETHING"):
+        assert not secrets.spans(f"see {word} there".encode(), formats)[1], word
+    base = [(5, 0, 60), (10, 2, 44), (70, 1, 86)]
+    text = "a" * 100 + " " + "b" * 20
+    assert list(secrets.candidates(text, base)) == [(101, 121)]
+    assert list(secrets.candidates("a" * 40 + " " + "b" * 40, [(20, 0, 60)])) == [(0, 20), (60, 81)]
