@@ -5,7 +5,9 @@ from __future__ import annotations
 import argparse
 import json
 import os
+import shutil
 import sys
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -15,9 +17,11 @@ from quire.functions.text import slugify
 from quire.operators import blocks as B
 from quire.operators import collect as C
 from quire.operators import document as D
+from quire.operators import joins as J
 from quire.operators import layout as L
 from quire.operators import tables as T
 from quire.operators import tree, validate
+from quire.operators.sequence import ordered_list
 from quire.sources import pages as S
 from quire.sources import sinks
 
@@ -54,31 +58,41 @@ def blocks_of(pages: DataFrame, rules: DataFrame, layout: L.Layout, doc: str = "
     caption = F.col("role") == "table.caption"
     inside = F.coalesce(F.col("region").startswith("table"), F.lit(False))
     folded = B.page_blocks(lines.filter(~inside & ~F.coalesce(caption, F.lit(False))).select("page", F.col("seq").cast("int").alias("seq"), F.coalesce("role", F.lit("body")).alias("role"), "text", "md", "column", "region", "level", "size", "x0", "x1", "y", F.coalesce(F.col("parts")[0]["role"].isin(*layout.strong, *layout.strong_em), F.lit(False)).alias("bold"), F.coalesce(F.element_at("parts", -1)["role"].isin(*layout.strong, *layout.strong_em), F.lit(False)).alias("bold_open")))
-    text = folded.select("page", F.col("seq").cast("double").alias("at"), "kind", "level", "text", "md", F.lit(None).cast("string").alias("region"), F.lit(None).cast("array<string>").alias("header"), F.lit(None).cast("array<array<string>>").alias("rows"), F.lit(None).cast("string").alias("caption"))
+    text = folded.select("page", F.col("seq").cast("double").alias("at"), "kind", "level", "text", "md", "region", F.lit(None).cast("array<string>").alias("header"), F.lit(None).cast("array<array<string>>").alias("rows"), F.lit(None).cast("string").alias("caption"), "column")
     spans = L.placed(L.with_roles(S.spans(pages), rules, layout), L.regions(S.rects(pages), layout), layout)
-    where = lines.filter(inside).groupBy("page", "region").agg(F.min("seq").cast("double").alias("at"), F.min("x0").alias("t0"), F.max("x1").alias("t1"))
+    # a table of which most lines are a stat block's is one of its parts
+    stat = F.count_if(F.col("role").startswith("statblock.")) * 2 > F.count("*")
+    where = lines.filter(inside).groupBy("page", "region").agg(F.min("seq").cast("double").alias("at"), F.min("x0").alias("t0"), F.max("x1").alias("t1"), F.min_by("column", "seq").alias("column"), F.coalesce(stat, F.lit(False)).alias("stat"), F.array_join(ordered_list(["seq"], "text"), " ").alias("lines"))
     grids = T.grids(spans).join(where, ["page", "region"])
     # each caption goes to one table: the nearest below it whose extent it overlaps
     named = lines.filter(caption).select("page", F.col("text").alias("caption"), F.col("y").alias("cy"), F.col("x0").alias("c0"), F.col("x1").alias("c1"))
     near = grids.join(named, "page").filter((F.col("y0") - F.col("cy") > 0) & (F.col("y0") - F.col("cy") <= 60) & (F.col("c0") <= F.col("t1") + 8) & (F.col("c1") >= F.col("t0") - 8))
     taken = near.withColumn("k", F.row_number().over(W.partitionBy("page", "caption", "cy").orderBy(F.col("y0") - F.col("cy"), "region"))).filter("k = 1")
     best = taken.groupBy("page", "region").agg(F.max_by("caption", "cy").alias("caption"))
-    table = grids.join(best, ["page", "region"], "left").select("page", "at", F.lit("table").alias("kind"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("md"), "region", "header", "rows", "caption")
+    words = F.when(F.col("stat"), F.col("lines"))
+    table = grids.join(best, ["page", "region"], "left").select("page", "at", F.when(F.col("stat"), "statblock.ability").otherwise("table").alias("kind"), F.lit(None).cast("int").alias("level"), words.alias("text"), words.alias("md"), "region", "header", "rows", "caption", "column")
     both = text.unionByName(table)
     # one document is one ordered whole; its blocks are as few as its pages allow
-    return both.select(F.lit(doc).alias("doc"), (F.row_number().over(W.orderBy("page", "at")) - 1).cast("bigint").alias("seq"), "kind", "level", "text", "md", "page", "region", "header", "rows", "caption")
+    return both.select(F.lit(doc).alias("doc"), (F.row_number().over(W.orderBy("page", "at")) - 1).cast("bigint").alias("seq"), "kind", "level", "text", "md", "page", "region", "header", "rows", "caption", "column")
 
 
 def stitched(blocks: DataFrame) -> DataFrame:
-    """Paragraphs that a page break cut, as one."""
-    w = W.partitionBy("doc").orderBy("seq")
-    before = F.lag(F.struct("kind", "page", "text")).over(w)
-    goes_on = (F.col("kind") == "paragraph") & (before["kind"] == "paragraph") & (before["page"] != F.col("page")) & ~F.rtrim(before["text"]).rlike("[.:!?”]$")
-    at = blocks.withColumn("run", F.sum((~F.coalesce(goes_on, F.lit(False))).cast("int")).over(w))
-    text = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", c))), lambda x: x[c]), " ")
-    first = [F.min_by(c, "seq").alias(c) for c in ("kind", "level", "page", "region", "header", "rows", "caption")]
-    got = at.groupBy("doc", "run").agg(F.min("seq").alias("seq"), text("text").alias("text"), text("md").alias("md"), *first)
-    return got.select("doc", "seq", "kind", "level", "text", "md", "page", "region", "header", "rows", "caption")
+    """Paragraphs that a page or column break cut, as one, and tables that go on beside each other."""
+    kept = blocks.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("md", F.coalesce("md", F.lit("")))
+    got = B.stitched(kept, ["doc"], ["seq"], "text", ["page", "column"], may=F.col("kind") == "paragraph", also=["md"])
+    rest = blocks.select("doc", "seq", "kind", "level", "page", "region", "header", "rows", "caption", F.col("text").isNull().alias("bare"))
+    got = got.join(rest, ["doc", "seq"]).select("doc", "seq", "kind", "level", F.when(~F.col("bare"), F.col("text")).alias("text"), F.when(~F.col("bare"), F.col("md")).alias("md"), "page", "region", "header", "rows", "caption")
+    tables = got.filter("kind = 'table'")
+    return got.filter("kind != 'table'").unionByName(T.side_panels(tables, ["doc"], ["seq"]).select(*got.columns))
+
+
+def locked(spark: SparkSession, ids: DataFrame, path: str, version: str) -> None:
+    """Merges the ids that there are into the lock at path, a local folder: each id's collection, since when it is, and when it went."""
+    old = spark.read.parquet(path) if os.path.exists(path) else spark.createDataFrame([], "id string, collection string, since string, retired string")
+    new = J.snapshot_diff(old.select("id", "collection", "since", "retired"), ids.select("id", "collection"), "id", "collection", version)
+    new.write.mode("overwrite").parquet(f"{path}.next")
+    shutil.rmtree(path, ignore_errors=True)
+    os.replace(f"{path}.next", path)
 
 
 def run(spark: SparkSession, step: str, pages: str, out: str, config: dict) -> bool:
@@ -101,6 +115,7 @@ def run(spark: SparkSession, step: str, pages: str, out: str, config: dict) -> b
         links.write.mode("overwrite").parquet(book("links"))
         missing.write.mode("overwrite").parquet(book("unresolved"))
         C.by_id(stored).write.mode("overwrite").parquet(book("by-id"))
+        locked(spark, spark.read.parquet(book("by-id")), config.get("lock", book("id-lock")), str(config.get("version", "1")))
     elif step == "export":
         stored = collections(spark, out)
         for c in C.COLLECTIONS:
@@ -132,9 +147,13 @@ def chapters(nodes: DataFrame) -> DataFrame:
 def checks(spark: SparkSession, out: str, config: dict) -> DataFrame:
     """Expected against actual: the configured counts, no node without page or title, no unknown style, no id twice."""
     nodes, ids = spark.read.parquet(f"{out}/nodes"), spark.read.parquet(f"{out}/by-id")
-    expected = spark.createDataFrame([*config.get("expected", {}).items(), ("nodes without page", 0), ("headings without title", 0), ("unknown styles", 0), ("repeated ids", 0)], "name string, expected bigint")
+    expected = spark.createDataFrame([*config.get("expected", {}).items(), ("nodes without page", 0), ("headings without title", 0), ("unknown styles", 0), ("repeated ids", 0), ("dropped blocks", 0), ("ids not in the lock", 0)], "name string, expected bigint")
     count = lambda df, name: df.agg(F.count("*").alias("actual")).select(F.lit(name).alias("name"), "actual")
-    found = count(nodes.filter("page is null"), "nodes without page").unionByName(count(nodes.filter("level is not null and trim(title) = ''"), "headings without title")).unionByName(count(spark.read.parquet(f"{out}/unknown"), "unknown styles")).unionByName(count(validate.duplicate_ids(ids), "repeated ids"))
+    lock = spark.read.parquet(config.get("lock", f"{out}/id-lock"))
+    stored = collections(spark, out).values()
+    every = reduce(DataFrame.unionByName, [rows.select("id") for rows in stored])
+    lost = D.dropped(spark.read.parquet(f"{out}/blocks")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("actual")).select(F.lit("dropped blocks").alias("name"), "actual")
+    found = lost.unionByName(count(ids.join(lock.filter("retired is null"), "id", "left_anti"), "ids not in the lock")).unionByName(count(nodes.filter("page is null"), "nodes without page")).unionByName(count(nodes.filter("level is not null and trim(title) = ''"), "headings without title")).unionByName(count(spark.read.parquet(f"{out}/unknown"), "unknown styles")).unionByName(count(validate.duplicate_ids(every), "repeated ids"))
     for name in config.get("expected", {}):
         found = found.unionByName(count(ids.filter(F.col("collection") == name), name))
     return validate.compare(expected, found)

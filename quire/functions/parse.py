@@ -15,8 +15,11 @@ from quire.functions.text import in_parens, list_split, minus, sort_key
 
 #: Values of coins in gold pieces, fixed values.
 COINS = {"pc": 0.01, "pp": 0.1, "pe": 0.5, "po": 1.0, "ppt": 10.0}
-UNITS = {"asalto": "asalto", "minuto": "minuto", "hora": "hora", "dia": "dia", "ano": "año"}
-SIZES = {"diminuto": "Diminuto", "diminuta": "Diminuto", "pequeno": "Pequeño", "pequena": "Pequeño", "mediano": "Mediano", "mediana": "Mediano", "grande": "Grande", "enorme": "Enorme", "gargantuesco": "Gargantuesco", "gargantuesca": "Gargantuesco"}
+UNITS = {"asalto": "asalto", "minuto": "minuto", "hora": "hora", "dia": "día", "ano": "año"}
+#: Units of casting times, and how abilities are abbreviated, fixed values.
+CASTING_UNITS = {"minuto": "minuto", "hora": "hora", "dia": "dia"}
+ABILITIES = {"Fue": "fue", "Des": "des", "Con": "con", "Int": "int", "Sab": "sab", "Car": "car"}
+SIZES = {"diminuto": "Diminuto", "diminuta": "Diminuto", "pequeno": "Pequeño", "pequena": "Pequeño", "mediano": "Mediano", "mediana": "Mediano", "grande": "Grande", "enorme": "Enorme", "gigantesco": "Gigantesco", "gigantesca": "Gigantesco", "gargantuesco": "Gargantuesco", "gargantuesca": "Gargantuesco"}
 
 
 def lookup(key: Column, table: Mapping[str, object]) -> Column:
@@ -61,33 +64,35 @@ def fraction_display(x: Column) -> Column:
 def reach(s: Column) -> tuple[Column, Column, Column]:
     """A range's kind, metres and shape."""
     k = sort_key(s)
-    value = number(s) * F.when(k.rlike(r"\bkm\b|kilometro"), 1000.0).otherwise(1.0)
-    kind = F.when(k.startswith("lanzador"), "self").when(k.startswith("toque"), "touch").when(k.startswith("vista"), "sight").when(k.startswith("ilimitado"), "unlimited").when(k.rlike(r"\d"), "ranged").otherwise("special")
-    return kind, F.when(k.rlike(r"\d"), value), in_parens(s)
+    value = number(s) * F.when(k.contains("km"), 1000.0).otherwise(1.0)
+    kind = F.when(k.startswith("lanzador"), "self").when(k.startswith("toque"), "touch").when(k.startswith("vista") | k.startswith("a la vista"), "sight").when(k.startswith("ilimitado"), "unlimited").when(k.rlike(r"\d"), "ranged").otherwise("special")
+    return kind, F.when(kind == "ranged", value), in_parens(s)
 
 
 def duration(s: Column, units: Mapping[str, str] = UNITS) -> tuple[Column, Column, Column, Column]:
-    """Whether it needs concentration, kind, value and unit; value and unit for timed ones only."""
+    """Whether it needs concentration, kind, value and unit; value and unit only where it is timed and has both."""
     k = sort_key(s)
-    unit = _group(k, r"\d+\s+(" + "|".join(units) + r")", 1)
-    kind = F.when(k.startswith("instantane"), "instant").when(k.contains("hasta que"), "until").when(unit.isNotNull(), "timed").otherwise("special")
-    timed = kind == "timed"
-    return k.contains("concentracion"), kind, F.when(timed, _group(k, r"(\d+)", 1).cast("int")), F.when(timed, lookup(unit, units))
+    unit, value = _group(k, "(" + "|".join(units) + ")", 1), number(s)
+    kind = F.when(k.contains("instantaneo"), "instantaneous").when(k.rlike("hasta que se disipe|disipado"), "until-dispelled").when(k.contains("especial"), "special").otherwise("timed")
+    timed = (kind == "timed") & unit.isNotNull() & value.isNotNull()
+    return k.startswith("concentracion"), kind, F.when(timed, value), F.when(timed, lookup(unit, units))
 
 
-def casting_time(s: Column, units: Mapping[str, str] = UNITS) -> tuple[Column, Column, Column, Column, Column]:
-    """Kind, ritual, value, unit and a reaction's trigger."""
+def casting_time(s: Column, units: Mapping[str, str] = CASTING_UNITS) -> tuple[Column, Column, Column, Column, Column]:
+    """Kind (a time unless an action), ritual, value, unit and a reaction's trigger, without its "que"."""
     k = sort_key(s)
-    unit = _group(k, r"\d+\s+(" + "|".join(units) + r")", 1)
-    kind = F.when(k.startswith("accion adicional"), "bonus-action").when(k.startswith("accion"), "action").when(k.startswith("reaccion"), "reaction").when(unit.isNotNull(), "time").otherwise("special")
-    return kind, k.contains("ritual"), F.when(kind == "time", _group(k, r"(\d+)", 1).cast("int")), F.when(kind == "time", lookup(unit, units)), F.when(kind == "reaction", F.trim(_group(s, r",\s*(.+)$", 1)))
+    unit = _group(k, "(" + "|".join(units) + ")", 1)
+    kind = F.when(k.startswith("accion adicional"), "bonus-action").when(k.startswith("accion"), "action").when(k.startswith("reaccion"), "reaction").otherwise("time")
+    return kind, k.contains("ritual"), F.when(kind == "time", number(s)), F.when(kind == "time", lookup(unit, units)), F.when(kind == "reaction", _group(s, r",\s*(?:que\s+)?(.*)$", 1))
 
 
 def components(s: Column) -> tuple[Column, Column, Column, Column, Column]:
-    """V, S, M, the material and whether it is used up."""
+    """V, S, M, the material (where M is there) and whether it is used up."""
     head = F.regexp_extract(s, r"^([^(]*)", 1)
     material = F.trim(_group(s, r"\(((?:[^()]|\([^()]*\))*)\)", 1))
-    return head.rlike(r"\bV\b"), head.rlike(r"\bS\b"), head.rlike(r"\bM\b"), material, F.coalesce(sort_key(material).rlike("se consume"), F.lit(False))
+    m = head.rlike(r"\bM\b")
+    material = F.when(m, material)
+    return head.rlike(r"\bV\b"), head.rlike(r"\bS\b"), m, material, F.coalesce(sort_key(material).contains("consume"), F.lit(False))
 
 
 def meta_line(s: Column, sizes: Mapping[str, str] = SIZES) -> tuple[Column, Column, Column, Column]:
@@ -106,13 +111,14 @@ def speeds(s: Column, mode: str = "caminando") -> Column:
     return F.map_from_entries(F.filter(F.transform(parts, pair), lambda x: x["v"].isNotNull()))
 
 
-def abilities(s: Column) -> Column:
-    """Map of ability to score, modifier and save from "FUE 10 +0 +2 ..."."""
-    pattern = r"([A-Z]{3})\s+(\d+)\s+([+-]\d+)\s+([+-]\d+)"
-    t = minus(s)
-    each = lambda n: F.regexp_extract_all(t, F.lit(pattern), F.lit(n))
+def abilities(s: Column, names: Mapping[str, str] = ABILITIES) -> Column:
+    """Map of ability to score, modifier and save from "Fue 16 +3 +3 Des 13 ..."."""
+    pattern = r"\b(" + "|".join(names) + r")\s+(-?\d+)\s+([+-]?\d+)\s+([+-]?\d+)"
+    each = lambda n: F.regexp_extract_all(minus(s), F.lit(pattern), F.lit(n))
     zipped = F.arrays_zip(each(1).alias("a"), each(2).alias("b"), each(3).alias("c"), each(4).alias("d"))
-    return F.map_from_entries(F.transform(zipped, lambda x: F.struct(x["a"], F.struct(x["b"].cast("int").alias("score"), x["c"].cast("int").alias("mod"), x["d"].cast("int").alias("save")))))
+    entry = lambda x: F.struct(lookup(x["a"], names), F.struct(x["b"].cast("int").alias("score"), x["c"].cast("int").alias("mod"), x["d"].cast("int").alias("save")))
+    last = F.filter(zipped, lambda x, i: ~F.exists(F.slice(zipped, i + 2, F.size(zipped)), lambda y: y["a"] == x["a"]))
+    return F.map_from_entries(F.transform(last, entry))
 
 
 def signed_map(s: Column) -> Column:
@@ -122,22 +128,26 @@ def signed_map(s: Column) -> Column:
 
 
 def challenge(s: Column) -> tuple[Column, Column, Column, Column]:
-    """Rating, experience, proficiency bonus and experience in the lair; blanks and points stand between thousands."""
+    """Rating, experience, proficiency bonus and experience in the lair of "1/4 (50 PX; BC +2)" or "10 (5900 PX, o 7200 en la guarida; BC +4)"; blanks may stand between thousands."""
     t = minus(s)
-    xp = F.regexp_replace(_group(t, r"PX\s*([\d][\d .]*)", 1), r"[^\d]", "").try_cast("bigint")
-    lair = F.regexp_replace(_group(t, r"([\d][\d .]*)\s*en su guarida", 1), r"[^\d]", "").try_cast("bigint")
-    return number(F.regexp_extract(t, r"^([^(]*)", 1)), xp, _group(t, r"BC\s*\+?(\d+)", 1).try_cast("int"), lair
+    pattern = r"^\s*([\d/]+)\s*\(([\d\s]+)\s*PX[^;)]*(?:;\s*BC\s*([+-]?\d+))?"
+    whole = lambda x: F.regexp_replace(x, r"\s", "").try_cast("bigint")
+    rated = _group(t, pattern, 1)
+    lair = F.when(rated.isNotNull(), _group(t, r"o\s+([\d\s]+)\s+en la guarida", 1))
+    return number(rated), whole(_group(t, pattern, 2)), _group(t, pattern, 3).try_cast("int"), whole(lair)
 
 
 def hit_points(s: Column) -> tuple[Column, Column]:
-    """Average and dice formula, dashes read as minus."""
+    """Average and dice formula, dashes read as minus, blanks squeezed."""
+    pattern = r"^\s*(\d+)\s*(?:\((\d+d\d+(?:\s*[+-]\s*\d+)?)\))?"
     t = minus(s)
-    return _group(t, r"^\s*(\d+)", 1).try_cast("int"), F.regexp_replace(_group(t, r"\(\s*(\d+d\d+(?:\s*[+-]\s*\d+)?)\s*\)", 1), r"\s", "")
+    return _group(t, pattern, 1).try_cast("int"), F.regexp_replace(_group(t, pattern, 2), r"\s+", " ")
 
 
 def initiative(s: Column) -> tuple[Column, Column]:
+    pattern = r"([+-]?\d+)\s*(?:\((\d+)\))?"
     t = minus(s)
-    return _group(t, r"([+-]\d+)", 1).try_cast("int"), _group(t, r"\((\d+)\)", 1).try_cast("int")
+    return _group(t, pattern, 1).try_cast("int"), _group(t, pattern, 2).try_cast("int")
 
 
 def spell_subtitle(s: Column) -> tuple[Column, Column, Column, Column]:
@@ -187,14 +197,14 @@ def contents_entry(s: Column) -> tuple[Column, Column]:
 
 
 def legendary_uses(s: Column) -> tuple[Column, Column]:
-    """Uses, and uses in the lair."""
-    return _group(s, r"(?i)usos[^:]*:\s*(\d+)", 1).try_cast("int"), _group(s, r"(\d+)\s*en su guarida", 1).try_cast("int")
+    """Uses (the first number after a colon), and uses in the lair, of "Usos de acción legendaria: 3 (4 en la guarida)"."""
+    return _group(s, r":\s*(\d+)", 1).try_cast("int"), _group(s, r"\((\d+)\s+en la guarida\)", 1).try_cast("int")
 
 
-def uses(s: Column) -> Column:
-    """What a name's parentheses say of how often it can be used."""
-    p = in_parens(s)
-    return F.when(sort_key(p).rlike(r"/ ?dia|recarga|guarida"), p)
+def uses(s: Column) -> tuple[Column, Column]:
+    """A name without its uses, and what its parentheses say of how often it can be used: "Aliento (recarga 5-6)"."""
+    found = _group(s, r"(?i)\(([^)]*(?:/d[íi]a|recarga|guarida)[^)]*)\)", 1)
+    return F.when(found.isNotNull(), F.trim(F.regexp_replace(s, r"\s*\([^)]*\)\s*$", ""))).otherwise(s), found
 
 
 def zipped(header: Column, row: Column) -> Column:

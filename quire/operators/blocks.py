@@ -6,9 +6,11 @@ from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions.text import list_kind
+from quire.operators.sequence import islands, ordered_list
 
 #: Characters that end a paragraph.
 TERMINALS = (".", ":", "!", "?", "”")
@@ -20,7 +22,7 @@ def line_kind(s: Column) -> Column:
 
 
 #: Block type by role prefix, the first that fits; roles of body text become what their marker says.
-ROLE_KINDS = (("table.", "table"), ("sidebar.title", "sidebar_title"), ("statblock.", "statblock"), ("chapter", "heading"), ("section", "heading"), ("subsection", "heading"), ("entry", "heading"), ("subtitle", "subtitle"), ("prop.", "property"), ("callout", "callout"), ("toc", "toc"))
+ROLE_KINDS = (("table.", "table"), ("sidebar.title", "sidebar_title"), ("sidebar", "sidebar_body"), ("statblock.name", "statblock.name"), ("statblock.section", "statblock.section"), ("statblock.meta", "statblock.meta"), ("statblock.header", "statblock.header"), ("statblock.ability", "statblock.ability"), ("statblock", "statblock.body"), ("chapter", "heading"), ("section", "heading"), ("subsection", "heading"), ("entry", "heading"), ("subtitle", "subtitle"), ("prop.", "property"), ("callout", "callout"), ("toc", "toc"))
 
 
 def block_kind(role: Column, text: Column) -> Column:
@@ -31,10 +33,8 @@ def block_kind(role: Column, text: Column) -> Column:
     return out.otherwise(F.coalesce(list_kind(text), F.lit("paragraph")))
 
 
-#: Node types of block types; others are counted as dropped.
-NODE_TYPES = {"heading": "section", "paragraph": "paragraph", "bullet": "item", "step": "step", "table": "table", "callout": "callout", "property": "property", "subtitle": "subtitle", "definition": "definition", "statblock": "statblock"}
-
-
+#: Kinds whose lines go on while the gap stays small and no run-in opens.
+GROWING = ("subtitle", "callout", "sidebar_title", "sidebar_body", "statblock.name", "statblock.section", "statblock.meta", "statblock.header", "statblock.ability", "statblock.body")
 BODY = {"paragraph", "bullet", "step", "definition"}
 FOLDED = "page int, block int, seq int, kind string, role string, column int, region string, level int, text string, md string, lines int, y0 double, y1 double, x0 double, x1 double"
 
@@ -90,7 +90,7 @@ def _goes_on(block: dict, last: dict, line: dict, kind: str, block_gap: float, i
     if kind == "heading" or block["kind"] == "heading":
         return kind == block["kind"] and line["role"] == block["role"] and 0 < gap <= 1.8 * line["size"]
     if kind not in BODY or block["kind"] not in BODY:
-        return kind == block["kind"] and kind in ("subtitle", "callout") and gap <= line["size"] + block_gap
+        return kind == block["kind"] and kind in GROWING and gap <= line["size"] + block_gap and not (line.get("bold") and not last.get("bold_open"))
     if kind in ("bullet", "step"):
         return False
     if line.get("bold") and not (block["kind"] == "definition" and last.get("bold_open")):
@@ -120,20 +120,21 @@ def page_blocks(lines: DataFrame, **limits: float) -> DataFrame:
     return lines.groupBy("page").applyInPandas(fold, FOLDED)
 
 
-def stitched(df: DataFrame, by: list[str], order: list, text: str, places: list[str]) -> DataFrame:
-    """Paragraphs cut by a page or column break as one: (by, run, text, n).
+def stitched(df: DataFrame, by: list[str], order: list[str], text: str, places: list[str], *, may: Column | None = None, also: list[str] | None = None) -> DataFrame:
+    """Paragraphs cut by a page or column break as one: (by, run, text, n, also).
 
-    A row goes on with the one before if its place differs and that text lacks an end mark.
+    A row goes on with the paragraph before, all of what it is by now, if that has no end mark and began
+    in another place; may tells which rows are paragraphs. Places come one after the other, so a row in
+    the place of the row before goes on just where that one did. also: more texts to join.
     """
-    from pyspark.sql import Window as W
-
-    from quire.operators.sequence import islands, ordered_list
-
     w = W.partitionBy(*by).orderBy(*order)
     moved = F.lit(False)
     for p in places:
         moved = moved | ~F.col(p).eqNullSafe(F.lag(p).over(w))
+    may = F.lit(True) if may is None else may
     ended = F.rtrim(F.lag(text).over(w)).rlike("[" + "".join(TERMINALS) + "]$")
-    at = df.withColumn("__opens", ~(moved & ~F.coalesce(ended, F.lit(True))))
-    names = [o for o in order if isinstance(o, str)]
-    return islands(at, by, order, F.col("__opens")).groupBy(*by, "run").agg(F.array_join(ordered_list(names, text), " ").alias(text), F.count("*").alias("n"))
+    open_ = may & F.coalesce(F.lag(may).over(w), F.lit(False)) & ~F.coalesce(ended, F.lit(True))
+    at = df.withColumn("__new", F.when(~open_, True).when(moved, False))
+    at = at.withColumn("__opens", F.last("__new", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    texts = [F.array_join(ordered_list(order, c), " ").alias(c) for c in (text, *(also or []))]
+    return islands(at, by, order, F.col("__opens")).groupBy(*by, "run").agg(*texts, F.count("*").alias("n"), *[F.min(c).alias(c) for c in order if also is not None])

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from quire.functions import parse as P
 from quire.functions import text as X
 from quire.operators import document as D
+from quire.operators import tree
 from quire.operators.joins import names_first
+from quire.operators.sequence import labelled_slices
 
 
 @dataclass(frozen=True)
@@ -129,7 +131,8 @@ def sidebars(nodes: DataFrame, words: Words) -> DataFrame:
 def classes(nodes: DataFrame, words: Words) -> DataFrame:
     """Sections of the classes chapter: traits from the first two-column table, progression, features by level with their subclass."""
     heads = nodes.filter(F.array_contains("path", words.classes) & (F.col("type") == "section"))
-    under = nodes.select(F.col("path").alias("p"), F.col("pos").alias("q"), "type", "title", "caption", "header", "rows", F.col("page").alias("fp"))
+    below = nodes.filter("parent_id is not null and md is not null").groupBy("doc", F.col("parent_id").alias("node_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "md"))), lambda x: F.struct(x["md"].alias("md"))).alias("said"))
+    under = nodes.join(below, ["doc", "node_id"], "left").select(F.col("path").alias("p"), F.col("pos").alias("q"), "type", "title", "caption", "header", "rows", F.col("page").alias("fp"), "said")
     at = heads.select("pos", F.col("title").alias("name"), "page").join(under, F.array_contains("p", F.col("name")), "left")
     level, feature = P.level_title(F.col("title"))
     subclass = F.get(F.filter("p", lambda x: x.startswith(words.subclass)), F.lit(0))
@@ -138,14 +141,14 @@ def classes(nodes: DataFrame, words: Words) -> DataFrame:
     traits = F.min_by(F.when(two, F.col("rows")), F.when(two, F.col("q")))
     grown = (F.col("type") == "table") & (F.size("header") > 2)
     steps = F.min_by(F.when(grown, F.struct("caption", "header", "rows")), F.when(grown, F.col("q")))
-    item = F.when(isfeat, F.struct(subclass.isNotNull().alias("o"), F.coalesce(subclass, F.lit("")).alias("subclass"), level.alias("level"), F.col("q").alias("pos"), feature.alias("name"), F.col("title"), F.col("fp").alias("page")))
+    item = F.when(isfeat, F.struct(subclass.isNotNull().alias("o"), F.coalesce(subclass, F.lit("")).alias("subclass"), level.alias("level"), F.col("q").alias("pos"), feature.alias("name"), F.col("title"), F.col("fp").alias("page"), F.col("said").alias("blocks")))
     got = at.groupBy("pos", "name", "page").agg(traits.alias("t"), steps.alias("progression"), F.array_sort(F.collect_list(item)).alias("all"))
     pair = F.transform(F.filter("t", lambda r: F.size(r) > 1), lambda r: F.struct(r[0].alias("k"), r[1].alias("v")))
-    feats = lambda cond: F.transform(F.filter("all", cond), lambda f: F.struct(f["level"].alias("level"), f["name"].alias("name"), f["subclass"].alias("subclass"), f["page"].alias("page")))
+    feats = lambda cond: F.transform(F.filter("all", cond), lambda f: F.struct(f["level"].alias("level"), f["name"].alias("name"), f["subclass"].alias("subclass"), f["page"].alias("page"), f["blocks"].alias("blocks")))
     names = F.array_distinct(F.transform(F.filter("all", lambda f: f["o"]), lambda f: f["subclass"]))
     return got.withColumn("pages", F.array("page")).select(
         "pos", "name", F.coalesce(F.map_from_entries(pair), F.create_map().cast("map<string,string>")).alias("coreTraits"), "progression", feats(lambda f: ~f["o"]).alias("features"),
-        F.transform(names, lambda n: F.struct(n.alias("name"), F.transform(F.filter("all", lambda f: f["subclass"] == n), lambda f: F.struct(f["level"].alias("level"), f["name"].alias("name"))).alias("features"))).alias("subclasses"), source().alias("source"),
+        F.transform(names, lambda n: F.struct(n.alias("name"), F.transform(F.filter("all", lambda f: f["subclass"] == n), lambda f: F.struct(f["level"].alias("level"), f["name"].alias("name"), f["blocks"].alias("blocks"))).alias("features"))).alias("subclasses"), source().alias("source"),
     )
 
 
@@ -176,22 +179,32 @@ def equipment(nodes: DataFrame, words: Words) -> DataFrame:
     )
 
 
+#: Labels in a stat block's header lines, fixed values.
+STATS = {
+    "ca": "CA:", "iniciativa": "Iniciativa:", "pg": "PG:", "velocidad": "Velocidad:", "habilidades": "Habilidades:", "sentidos": "Sentidos:", "idiomas": "Idiomas:",
+    "inmunidades": "Inmunidades:", "resistencias": "Resistencias:", "vulnerabilidades": "Vulnerabilidades:", "equipo": "Equipo:", "vd": "VD:",
+}
+
+
 def monsters(nodes: DataFrame, words: Words) -> DataFrame:
     """Stat blocks: nodes of type statblock whose children are the meta line, properties, ability lines, section marks and run-in entries."""
     at = D.entries(nodes, "statblock").withColumn("meta", F.get(F.transform(F.filter("children", lambda c: c["type"] == "meta"), lambda c: c["text"]), F.lit(0)))
     kind, size, alignment, tags = P.meta_line(F.col("meta"))
-    prop = lambda key: _property(F.col("children"), key)
+    heads = F.array_join(F.transform(F.filter("children", lambda c: c["type"] == "header"), lambda c: c["text"]), " ")
+    at = at.withColumn("stats", labelled_slices(heads, list(STATS.values())))
+    prop = lambda key: F.coalesce(_property(F.col("children"), key), F.try_element_at("stats", F.lit(STATS[key])))
     average, formula = P.hit_points(prop("pg"))
     mod, score = P.initiative(prop("iniciativa"))
     cr, xp, bonus, lair = P.challenge(prop("vd"))
     ability = F.array_join(F.transform(F.filter("children", lambda c: c["type"] == "ability"), lambda c: c["text"]), " ")
     # sections run from one mark to the next
-    marked = F.aggregate("children", F.expr("struct('' as s, cast(array() as array<struct<s: string, md: string, page: int>>) as out)"), lambda acc, c: F.when(c["type"] == "section_mark", F.struct(X.sort_key(c["text"]).alias("s"), acc["out"].alias("out"))).when(c["type"] == "paragraph", F.struct(acc["s"].alias("s"), F.concat(acc["out"], F.array(F.struct(acc["s"].alias("s"), c["md"].alias("md"), c["page"].alias("page")))).alias("out"))).otherwise(acc), lambda acc: acc["out"])
+    marked = F.aggregate("children", F.expr("struct('' as s, cast(array() as array<struct<s: string, md: string, page: int>>) as out)"), lambda acc, c: F.when(c["type"] == "section_mark", F.struct(X.sort_key(c["text"]).alias("s"), acc["out"].alias("out"))).when((c["type"] == "paragraph") | ((c["type"] == "meta") & (acc["s"] != "")), F.struct(acc["s"].alias("s"), F.concat(acc["out"], F.array(F.struct(acc["s"].alias("s"), c["md"].alias("md"), c["page"].alias("page")))).alias("out"))).otherwise(acc), lambda acc: acc["out"])
 
     def section(name: str) -> Column:
         def entry(e):
             title, rest = X.split_runin(e["md"])
-            return F.struct(title.alias("name"), e["md"].alias("md"), e["page"].alias("page"), rest.alias("description"), P.uses(title).alias("uses"))
+            name, used = P.uses(title)
+            return F.struct(name.alias("name"), e["md"].alias("md"), e["page"].alias("page"), rest.alias("description"), used.alias("uses"))
 
         return F.transform(F.filter("marked", lambda e: e["s"] == name), entry)
 
@@ -237,12 +250,14 @@ def index_of(rows: DataFrame, fields: tuple[str, ...]) -> DataFrame:
 
 
 def by_id(collections: dict[str, DataFrame]) -> DataFrame:
-    """(id, collection, name, page, path) of all records."""
+    """(id, collection, name, page, path, pos) of all records; of records with one id the last counts."""
     out = None
-    for name, rows in collections.items():
-        one = rows.select("id", F.lit(name).alias("collection"), "name", F.col("source.page").alias("page"), F.concat(F.lit(name + "/"), F.substring_index("id", ".", -1), F.lit(".json")).alias("path"), "pos")
+    for k, (name, rows) in enumerate(collections.items()):
+        one = rows.select("id", F.lit(name).alias("collection"), "name", F.col("source.page").alias("page"), F.concat(F.lit(name + "/"), F.substring_index("id", ".", -1), F.lit(".json")).alias("path"), "pos", F.lit(k).alias("at"))
         out = one if out is None else out.unionByName(one)
-    return out
+    fields = ("collection", "name", "page", "path", "pos")
+    last = out.groupBy("id").agg(F.max_by(F.struct(*fields), F.struct("at", "pos")).alias("r"))
+    return last.select("id", *[F.col(f"r.{c}").alias(c) for c in fields])
 
 
 def by_page(index: DataFrame) -> DataFrame:
@@ -250,13 +265,31 @@ def by_page(index: DataFrame) -> DataFrame:
     return index.groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("collection", "pos", "id"))), lambda x: x["id"]).alias("ids"))
 
 
+#: Where a record's blocks are, in the order in which they are read.
+SECTIONS = ("blocks", "traits", "actions", "bonusActions", "reactions")
+
+
+def _blocks(rows: DataFrame) -> list[tuple[str, Column]]:
+    md = lambda blocks: F.transform(F.filter(blocks, lambda b: b["md"].isNotNull()), lambda b: F.struct(b["md"].alias("md")))
+    within = lambda features: F.flatten(F.transform(features, lambda f: F.coalesce(md(f["blocks"]), F.array().cast("array<struct<md: string>>"))))
+    out = [(c, md(F.col(c))) for c in SECTIONS if c in rows.columns]
+    if "legendary" in rows.columns:
+        out.append(("legendary", md(F.col("legendary.actions"))))
+    if "subclasses" in rows.columns:
+        out.append(("subclasses", F.flatten(F.transform("subclasses", lambda s: within(s["features"])))))
+    if "features" in rows.columns:
+        out.append(("features", within(F.col("features"))))
+    return out
+
+
 def mentions(collections: dict[str, DataFrame]) -> DataFrame:
-    """(source, pos, key): emphasised texts in records' blocks, in order, labels left out."""
+    """(source, pos, key): emphasised texts in all blocks of records, in order, labels left out."""
     out = None
     for rows in collections.values():
-        if "blocks" not in rows.columns:
+        groups = _blocks(rows)
+        if not groups:
             continue
-        md = F.flatten(F.transform(F.filter("blocks", lambda b: b["md"].isNotNull()), lambda b: X.emphasised(b["md"])))
+        md = F.flatten(F.transform(tree.enumerated(groups), lambda b: X.emphasised(b["md"])))
         one = rows.select(F.col("id").alias("source"), F.posexplode(md).alias("pos", "t")).filter(~X.is_label(F.col("t"), ["nota", "ver"])).select("source", "pos", X.slugify(F.col("t")).alias("key"))
         out = one if out is None else out.unionByName(one)
     return out

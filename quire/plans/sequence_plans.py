@@ -105,11 +105,12 @@ def line_blocks(spark, sf_dir):
     return B.page_blocks(lines).select("page", "block", "kind", "lines", "text")
 
 
-@plans.add(r"""WITH l AS (SELECT doc_id, i AS seq, ls[i] AS line, i % 2 AS place FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))),
-    o AS (SELECT *, CASE WHEN NOT regexp_matches(rtrim(lag(line) OVER w), '[.:!?”]$') THEN 0 ELSE 1 END AS opens FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY seq)), f AS (SELECT *, CASE WHEN seq = 1 THEN 1 ELSE opens END AS o2 FROM o), r AS (SELECT *, sum(o2) OVER (PARTITION BY doc_id ORDER BY seq) AS run FROM f)
+@plans.add(r"""WITH l AS (SELECT doc_id, i AS seq, ls[i] AS line, (i - 1) // 3 AS place FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))),
+    o AS (SELECT *, CASE WHEN seq = 1 OR regexp_matches(rtrim(lag(line) OVER w), '[.:!?”]$') THEN 1 WHEN place <> lag(place) OVER w THEN 0 END AS opens FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
+    f AS (SELECT *, last_value(opens IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS o2 FROM o), r AS (SELECT *, sum(o2) OVER (PARTITION BY doc_id ORDER BY seq) AS run FROM f)
     SELECT doc_id, CAST(run AS BIGINT) AS run, string_agg(line, ' ' ORDER BY seq) AS line, count(*) AS n FROM r GROUP BY doc_id, run""")
 def paragraph_stitch(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "line")).withColumn("place", F.col("seq") % 2)
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "line")).withColumn("place", F.floor(F.col("seq") / 3))
     return B.stitched(lines, ["doc_id"], ["seq"], "line", ["place"])
 
 

@@ -121,29 +121,30 @@ def fraction_display(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", P.fraction_display(x).alias("shown"))
 
 
-@plans.add(r"""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'self' WHEN 1 THEN 'touch' WHEN 2 THEN 'ranged' WHEN 3 THEN 'ranged' ELSE 'special' END AS kind,
-    CAST(CASE p_partkey % 5 WHEN 0 THEN p_size WHEN 2 THEN p_size WHEN 3 THEN p_size * 1000 END AS DOUBLE) AS meters, CASE WHEN p_partkey % 5 = 0 THEN 'cono de ' || CAST(p_size AS VARCHAR) || ' m' END AS shape FROM part""")
+@plans.add(r"""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'self' WHEN 1 THEN 'touch' WHEN 2 THEN 'ranged' WHEN 3 THEN 'ranged' WHEN 4 THEN 'sight' ELSE 'special' END AS kind,
+    CAST(CASE p_partkey % 6 WHEN 2 THEN p_size + 0.5 WHEN 3 THEN p_size * 1000 END AS DOUBLE) AS meters, CASE WHEN p_partkey % 6 = 0 THEN 'cono de ' || CAST(p_size AS VARCHAR) || ' m' END AS shape FROM part""")
 def range_kind(spark, sf_dir):
-    n, k = F.col("p_size").cast("string"), F.col("p_partkey") % 5
-    s = F.when(k == 0, F.concat(F.lit("Lanzador (cono de "), n, F.lit(" m)"))).when(k == 1, "Toque").when(k == 2, F.concat(n, F.lit(" m"))).when(k == 3, F.concat(n, F.lit(" km"))).otherwise("Especial")
+    n, k = F.col("p_size").cast("string"), F.col("p_partkey") % 6
+    s = F.when(k == 0, F.concat(F.lit("Lanzador (cono de "), n, F.lit(" m)"))).when(k == 1, "Toque").when(k == 2, F.concat(n, F.lit(",5 m"))).when(k == 3, F.concat(n, F.lit(" km"))).when(k == 4, "A la vista").otherwise("Especial")
     a, b, c = P.reach(s)
     return table(spark, sf_dir, "part").select("p_partkey", a.alias("kind"), b.alias("meters"), c.alias("shape"))
 
 
-@plans.add(r"""SELECT p_partkey, p_partkey % 2 = 0 AS concentration, CASE p_partkey % 3 WHEN 0 THEN 'timed' WHEN 1 THEN CASE WHEN p_partkey % 2 = 0 THEN 'special' ELSE 'instant' END ELSE 'timed' END AS kind,
-    CASE WHEN p_partkey % 3 <> 1 THEN p_size END AS value, CASE p_partkey % 3 WHEN 0 THEN 'minuto' WHEN 2 THEN 'año' END AS unit FROM part""")
+@plans.add(r"""SELECT p_partkey, p_partkey % 2 = 0 AS concentration, CASE WHEN p_partkey % 5 = 1 AND p_partkey % 2 = 1 THEN 'instantaneous' WHEN p_partkey % 5 = 2 THEN 'until-dispelled' WHEN p_partkey % 5 = 3 THEN 'special' ELSE 'timed' END AS kind,
+    CAST(CASE WHEN p_partkey % 5 IN (0, 4) OR p_partkey % 10 = 6 THEN p_size END AS DOUBLE) AS value, CASE WHEN p_partkey % 5 = 0 THEN 'minuto' WHEN p_partkey % 5 = 4 THEN 'año' WHEN p_partkey % 10 = 6 THEN 'día' END AS unit FROM part""")
 def duration_parse(spark, sf_dir):
-    n, k = F.col("p_size").cast("string"), F.col("p_partkey") % 3
-    s = F.concat(F.when(F.col("p_partkey") % 2 == 0, "Concentración, hasta ").otherwise(""), F.when(k == 0, F.concat(n, F.lit(" minutos"))).when(k == 1, "Instantánea").otherwise(F.concat(n, F.lit(" años"))))
-    a, b, c, d = P.duration(s)
+    n, k = F.col("p_size").cast("string"), F.col("p_partkey") % 5
+    once = F.when(F.col("p_partkey") % 2 == 1, "Instantáneo").otherwise(F.concat(n, F.lit(" días")))
+    s = F.when(k == 0, F.concat(n, F.lit(" minutos"))).when(k == 1, once).when(k == 2, "hasta que se disipe").when(k == 3, "especial").otherwise(F.concat(n, F.lit(" años")))
+    a, b, c, d = P.duration(F.concat(F.when(F.col("p_partkey") % 2 == 0, "Concentración, hasta ").otherwise(""), s))
     return table(spark, sf_dir, "part").select("p_partkey", a.alias("concentration"), b.alias("kind"), c.alias("value"), d.alias("unit"))
 
 
 @plans.add(r"""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'action' WHEN 1 THEN 'bonus-action' WHEN 2 THEN 'reaction' ELSE 'time' END AS kind, p_partkey % 4 = 0 AS ritual,
-    CASE WHEN p_partkey % 4 = 3 THEN p_size END AS value, CASE WHEN p_partkey % 4 = 3 THEN 'hora' END AS unit, CASE WHEN p_partkey % 4 = 2 THEN 'si cae ' || p_name END AS trigger FROM part""")
+    CAST(CASE WHEN p_partkey % 4 = 3 THEN p_size END AS DOUBLE) AS value, CASE WHEN p_partkey % 4 = 3 THEN 'hora' END AS unit, CASE WHEN p_partkey % 4 = 2 THEN 'realizas cuando cae, o no, ' || p_name END AS trigger FROM part""")
 def casting_time(spark, sf_dir):
     k = F.col("p_partkey") % 4
-    s = F.when(k == 0, "Acción o ritual").when(k == 1, "Acción adicional").when(k == 2, F.concat(F.lit("Reacción, si cae "), "p_name")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(" horas")))
+    s = F.when(k == 0, "Acción o ritual").when(k == 1, "Acción adicional").when(k == 2, F.concat(F.lit("Reacción, que realizas cuando cae, o no, "), "p_name")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(" horas")))
     a, b, c, d, e = P.casting_time(s)
     return table(spark, sf_dir, "part").select("p_partkey", a.alias("kind"), b.alias("ritual"), c.alias("value"), d.alias("unit"), e.alias("trigger"))
 
@@ -199,26 +200,41 @@ def speeds_parse(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string"))), "|").alias("speeds"))
 
 
-@plans.add(r"""SELECT p_partkey, p_size AS str_score, CAST(-(p_size % 5) AS INTEGER) AS str_mod, 3 AS dex_save, CAST(p_size % 7 AS INTEGER) AS stealth FROM part""")
+@plans.add(r"""SELECT p_partkey, p_size AS str_score, CAST(-(p_size % 5) AS INTEGER) AS str_mod, 3 AS dex_save, 2 AS n, CAST(p_size % 7 AS INTEGER) AS stealth FROM part""")
 def abilities_parse(spark, sf_dir):
     n = F.col("p_size")
-    m = P.abilities(F.concat(F.lit("FUE "), n.cast("string"), F.lit(" "), F.when(n % 5 == 0, "+").otherwise("−"), (n % 5).cast("string"), F.lit(" +1 DES 12 +1 +3")))
+    m = P.abilities(F.concat(F.lit("Mod. Salv. Fue "), n.cast("string"), F.lit(" "), F.when(n % 5 == 0, "+").otherwise("−"), (n % 5).cast("string"), F.lit(" +1 Des 12 +1 +3")))
     k = P.signed_map(F.concat(F.lit("Sigilo +"), (n % 7).cast("string"), F.lit(", Percepción −1")))
-    return table(spark, sf_dir, "part").select("p_partkey", m["FUE"]["score"].alias("str_score"), m["FUE"]["mod"].alias("str_mod"), m["DES"]["save"].alias("dex_save"), k["Sigilo"].alias("stealth"))
+    return table(spark, sf_dir, "part").select("p_partkey", m["fue"]["score"].alias("str_score"), m["fue"]["mod"].alias("str_mod"), m["des"]["save"].alias("dex_save"), F.size(m).alias("n"), k["Sigilo"].alias("stealth"))
 
 
-@plans.add(r"""SELECT p_partkey, CAST(CASE WHEN p_partkey % 2 = 0 THEN 0.25 ELSE p_size END AS DOUBLE) AS cr, CAST(p_size * 1000 AS BIGINT) AS xp, CAST(p_size % 9 + 1 AS INTEGER) AS bonus, CAST(p_size * 1000 + 500 AS BIGINT) AS lair FROM part""")
+@plans.add(r"""SELECT p_partkey, CAST(CASE p_partkey % 4 WHEN 0 THEN 0.25 WHEN 3 THEN NULL ELSE p_size END AS DOUBLE) AS cr, CASE WHEN p_partkey % 4 < 3 THEN CAST(p_size * 1000 AS BIGINT) END AS xp,
+    CASE WHEN p_partkey % 4 < 2 THEN CAST(p_size % 9 + 1 AS INTEGER) END AS bonus, CASE WHEN p_partkey % 4 = 1 THEN CAST(p_size * 1000 + 500 AS BIGINT) END AS lair FROM part""")
 def challenge_parse(spark, sf_dir):
-    n = F.col("p_size").cast("string")
-    s = F.concat(F.when(F.col("p_partkey") % 2 == 0, "1/4").otherwise(n), F.lit(" (PX "), n, F.lit(" 000, o "), n, F.lit(" 500 en su guarida; BC +"), (F.col("p_size") % 9 + 1).cast("string"), F.lit(")"))
+    n, k = F.col("p_size").cast("string"), F.col("p_partkey") % 4
+    bonus = F.concat(F.lit("; BC +"), (F.col("p_size") % 9 + 1).cast("string"), F.lit(")"))
+    first = F.concat(F.lit("1/4 ("), n, F.lit("000 PX"), bonus)
+    lair = F.concat(n, F.lit(" ("), n, F.lit(" 000 PX, o "), n, F.lit(" 500 en la guarida"), bonus)
+    s = F.when(k == 0, first).when(k == 1, lair).when(k == 2, F.concat(n, F.lit(" ("), n, F.lit(" 000 PX)"))).otherwise("ninguno")
     a, b, c, d = P.challenge(s)
     return table(spark, sf_dir, "part").select("p_partkey", a.alias("cr"), b.alias("xp"), c.alias("bonus"), d.alias("lair"))
 
 
-@plans.add(r"""SELECT p_partkey, p_size AS average, CAST(p_size AS VARCHAR) || 'd8-' || CAST(p_size % 4 AS VARCHAR) AS formula, CAST(p_size % 10 AS INTEGER) AS initiative, CAST(p_size AS INTEGER) AS initiative_score FROM part""")
+@plans.add(r"""SELECT p_partkey, p_name AS name, CASE p_partkey % 3 WHEN 0 THEN CAST(p_size AS VARCHAR) || '/día' WHEN 1 THEN 'recarga 5-6' END AS uses, CASE WHEN p_partkey % 3 = 2 THEN NULL ELSE CAST(p_size AS INTEGER) END AS legendary,
+    CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size + 1 AS INTEGER) END AS in_lair FROM part""")
+def entry_uses(spark, sf_dir):
+    n, k = F.col("p_size").cast("string"), F.col("p_partkey") % 3
+    name, used = P.uses(F.when(k == 0, F.concat("p_name", F.lit(" ("), n, F.lit("/día)"))).when(k == 1, F.concat("p_name", F.lit(" (recarga 5-6)"))).otherwise(F.col("p_name")))
+    intro = F.when(k == 0, F.concat(F.lit("Usos de acción legendaria: "), n, F.lit(" ("), (F.col("p_size") + 1).cast("string"), F.lit(" en la guarida)."))).when(k == 1, F.concat(F.lit("Puede usarlas así: "), n, F.lit("."))).otherwise("Sin usos")
+    all_, lair = P.legendary_uses(intro)
+    return table(spark, sf_dir, "part").select("p_partkey", name.alias("name"), used.alias("uses"), all_.alias("legendary"), lair.alias("in_lair"))
+
+
+@plans.add(r"""SELECT p_partkey, p_size AS average, CASE WHEN p_partkey % 3 < 2 THEN CAST(p_size AS VARCHAR) || 'd8' || CASE WHEN p_partkey % 3 = 0 THEN ' - ' || CAST(p_size % 4 AS VARCHAR) ELSE '' END END AS formula, CAST(p_size % 10 AS INTEGER) AS initiative, CAST(p_size AS INTEGER) AS initiative_score FROM part""")
 def hit_points(spark, sf_dir):
-    n = F.col("p_size").cast("string")
-    a, b = P.hit_points(F.concat(n, F.lit(" ("), n, F.lit("d8 − "), (F.col("p_size") % 4).cast("string"), F.lit(")")))
+    n, k = F.col("p_size").cast("string"), F.col("p_partkey") % 3
+    dice = F.when(k == 0, F.concat(F.lit(" ("), n, F.lit("d8 −  "), (F.col("p_size") % 4).cast("string"), F.lit(")"))).when(k == 1, F.concat(F.lit(" ("), n, F.lit("d8)"))).otherwise("")
+    a, b = P.hit_points(F.concat(n, dice))
     c, d = P.initiative(F.concat(F.lit("+"), (F.col("p_size") % 10).cast("string"), F.lit(" ("), n, F.lit(")")))
     return table(spark, sf_dir, "part").select("p_partkey", a.alias("average"), b.alias("formula"), c.alias("initiative"), d.alias("initiative_score"))
 

@@ -126,15 +126,26 @@ def test_block_fold():
     assert fold(line(0, "t", 0, role="table.cell", region="table0"), line(1, "u", 90, role="table.cell", region="table0"), line(2, "v", 95, role="table.cell", region="table1")) == [("table", "t u"), ("table", "v")]
 
 
-def test_stitch_and_runs(spark):
+def test_stitch(spark):
     rows = [("d", 0, 1, "cut"), ("d", 1, 2, "here."), ("d", 2, 3, "new"), ("d", 3, 3, "same page")]
     got = B.stitched(spark.createDataFrame(rows, "doc string, seq int, page int, text string"), ["doc"], ["seq"], "text", ["page"])
     assert [r.text for r in got.orderBy("run").collect()] == ["cut here.", "new", "same page"]
-    kinds = ["statblock", "property", "paragraph", "statblock", "property", "property"]
-    frame = spark.createDataFrame([("d", i, k, None, k, None, i // 3, None, None, None, None) for i, k in enumerate(kinds)], D.BLOCK)
-    runs = D.absorbed(frame, F.col("kind") == "statblock", F.col("kind").isin("statblock", "property"))
-    assert [[p.kind for p in r.parts] for r in runs.orderBy("seq").collect()] == [["statblock", "property"], ["statblock", "property", "property"]]
-    assert [(r.kind, r.n) for r in D.dropped(frame, ["statblock", "property"]).collect()] == [("paragraph", 1)]
+    rows = [("d", 0, 1, "one"), ("d", 1, 2, "two"), ("d", 2, 2, "three"), ("d", 3, 3, "four."), ("d", 4, 3, "five")]
+    got = B.stitched(spark.createDataFrame(rows, "doc string, seq int, page int, text string"), ["doc"], ["seq"], "text", ["page"])
+    assert [r.text for r in got.orderBy("run").collect()] == ["one two three four.", "five"]
+
+
+def test_groups_of_blocks(spark):
+    made = [("heading", "Beasts", 1, 1, None), ("statblock.body", "stray", None, 1, None), ("paragraph", "p", None, 1, None), ("statblock.name", "Wolf", None, 1, None), ("statblock.meta", "m", None, 1, None), ("statblock.name", "Bear", None, 2, None), ("statblock.body", "b", None, 2, None), ("heading", "Tip", 2, 2, "sidebar0"), ("sidebar_title", "Box", None, 2, "sidebar0"), ("sidebar_body", "in", None, 2, "sidebar0"), ("sidebar_body", "other", None, 2, "sidebar1"), ("toc", "A long", None, 3, None), ("toc", "title .... 12", None, 3, None), ("toc", "B .... 3", None, 4, None), ("odd", "lost", None, 5, None), ("paragraph", "after", None, 5, None)]
+    frame = spark.createDataFrame([("d", i, k, lv, t, None, page, region, None, None, None) for i, (k, t, lv, page, region) in enumerate(made)], D.BLOCK)
+    got = D.nodes(frame).orderBy("pos", F.col("parent_id").isNotNull()).collect()
+    told = [(r.type, r.title or r.text, r.parent_id) for r in got]
+    assert ("statblock", "Wolf", "beasts") in told and ("meta", "m", "wolf") in told and ("statblock", "Bear", "beasts") in told and ("paragraph", "b", "bear") in told
+    assert ("sidebar", "Box", "beasts") in told and ("paragraph", "Tip", "box") in told and ("paragraph", "in", "box") in told and ("paragraph", "after", "beasts") in told
+    assert next(r.path for r in got if r.text == "in") == ["Beasts", "Box"]
+    assert [(r.rows, r.parent_id) for r in got if r.type == "toc"] == [([["A long title", "12"]], "beasts"), ([["B", "3"]], "beasts")]
+    assert len({r.node_id for r in got}) == len(got) and not any(r.text in ("stray", "lost") for r in got)
+    assert {r.kind: r.n for r in D.dropped(frame).collect()} == {"statblock.body": 1, "odd": 1}
 
 
 def test_contents(spark):

@@ -30,7 +30,19 @@ def test_numbers(spark):
         assert one(spark, P.number, s) == want
     assert one(spark, P.grouped_number, "1.000,5") == 1000.5
     assert one(spark, lambda s: P.price(s)[2], "15 pc") == 0.15 and one(spark, lambda s: P.price(s)[0], "gratis") is None
-    assert one(spark, lambda s: P.hit_points(s)[1], "1 (1d4 − 1)") == "1d4-1"
+    assert one(spark, lambda s: P.hit_points(s)[1], "1 (1d4 − 1)") == "1d4 - 1"
+    told = lambda f, x: tuple(one(spark, lambda s: f(s)[k], x) for k in range(len(f(F.col("s")))))
+    assert told(P.challenge, "1/4 (50 PX; BC +2)") == (0.25, 50, 2, None)
+    assert told(P.challenge, "17 (18 000 PX, o 20 000 en la guarida; BC +6)") == (17.0, 18000, 6, 20000)
+    assert told(P.challenge, "ninguno") == (None, None, None, None)
+    got = one(spark, P.abilities, "Mod. Salv. Fue 16 +3 +3 Des 13 +1 +1 Int 2 −4 −4")
+    assert {k: tuple(v) for k, v in got.items()} == {"fue": (16, 3, 3), "des": (13, 1, 1), "int": (2, -4, -4)}
+    assert told(P.legendary_uses, "Usos de acción legendaria: 3 (4 en la guarida). Al final del turno") == (3, 4)
+    assert told(P.uses, "Aliento de fuego (recarga 5-6)") == ("Aliento de fuego", "recarga 5-6") and told(P.uses, "Mordisco") == ("Mordisco", None)
+    assert told(P.duration, "Instantáneo")[1] == "instantaneous" and told(P.duration, "Hasta que se disipe")[1] == "until-dispelled"
+    assert told(P.duration, "Concentración, hasta 1 hora") == (True, "timed", 1.0, "hora")
+    assert told(P.casting_time, "Reacción, que realizas cuando caes")[4] == "realizas cuando caes" and told(P.casting_time, "1 minuto o ritual")[:4] == ("time", True, 1.0, "minuto")
+    assert told(P.reach, "A la vista")[0] == "sight" and told(P.reach, "Lanzador (cono de 9 m)") == ("self", None, "cono de 9 m")
     assert one(spark, lambda s: P.meta_line(s)[2], "Dragón Enorme (cromático, malo), caótico malvado") == "caótico malvado"
     assert one(spark, lambda s: P.meta_line(s)[1], "Humanoide Pequeña o Mediana, neutral") == "Pequeño"
     assert one(spark, lambda s: P.duration(s)[3], "10 años") == "año"

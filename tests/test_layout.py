@@ -1,9 +1,11 @@
 """Synthetic pages, one for each trap of geometry."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from quire.operators import layout as L
 from quire.operators import tables as T
+from quire.operators.sequence import split_threshold
 from quire.sources import pages as S
 
 RULES = [(1, "head", "Bold", 14.0, 0, 1, False), (2, "body", "Body", 9.0, 0, None, False), (3, "running-head", "Body", 6.0, 0, None, True), (4, "table.header", "Bold", 9.0, 0, None, False), (5, "cell", "Cell", 9.0, 0, None, False), (6, "body.superscript", "Body", 5.0, 0, None, False)]
@@ -71,26 +73,34 @@ def cell(t, x, y, role="cell", w=20):
     return {"t": t, "x": float(x), "x1": float(x + w), "y": float(y), "role": role}
 
 
-def test_wrapped_cells_and_trimodal_gaps():
+def grid(spark, spans):
+    rows = [(1, "table0", i, s["t"], s["x"], s["y"], [s["x"], 0.0, s["x1"], 0.0], s["role"]) for i, s in enumerate(spans)]
+    got = T.grids(spark.createDataFrame(rows, "page int, region string, pos int, t string, x double, y double, bbox array<double>, role string")).first()
+    return {"header": got.header, "rows": got.rows}
+
+
+def test_wrapped_cells_and_trimodal_gaps(spark):
     spans = [cell("Name", 10, 0, "table.header"), cell("Effect", 60, 0, "table.header")]
     for i, y in enumerate((20, 47, 74)):
         spans += [cell(f"n{i}", 10, y), cell("first", 60, y), cell("second", 60, y + 12)]
-    assert T.grid(spans) == {"header": ["Name", "Effect"], "rows": [[f"n{i}", "first second"] for i in range(3)]}
+    assert grid(spark, spans) == {"header": ["Name", "Effect"], "rows": [[f"n{i}", "first second"] for i in range(3)]}
 
 
-def test_key_value_by_role_and_soft_hyphen():
+def test_key_value_by_role_and_soft_hyphen(spark):
     spans = [cell("Key", 10, 0, "table.header"), cell("one ha­", 40, 0), cell("lf", 40, 10), cell("Other", 10, 22, "table.header"), cell("two", 40, 22)]
-    assert T.grid(spans) == {"header": [], "rows": [["Key", "one half"], ["Other", "two"]]}
+    assert grid(spark, spans) == {"header": [], "rows": [["Key", "one half"], ["Other", "two"]]}
 
 
-def test_wide_cell_does_not_bridge_columns():
+def test_wide_cell_does_not_bridge_columns(spark):
     spans = [cell("A", 10, 0, "table.header"), cell("B", 60, 0, "table.header"), cell("wide", 10, 20, w=70), cell("x", 10, 40), cell("y", 60, 40)]
-    assert T.grid(spans)["header"] == ["A", "B"] and T.grid(spans)["rows"][1] == ["x", "y"]
+    got = grid(spark, spans)
+    assert got["header"] == ["A", "B"] and got["rows"][1] == ["x", "y"]
 
 
 @pytest.mark.parametrize("ys,want", [([], 0.0), ([1, 2.2, 3.4], 0.2), ([0, 12, 27, 39, 54], 13.5), ([0, 0.3], 0.0)])
-def test_row_threshold(ys, want):
-    assert abs(T.row_threshold([float(y) for y in ys]) - want) < 1e-9
+def test_row_threshold(spark, ys, want):
+    gaps = spark.createDataFrame([([float(b - a) for a, b in zip(ys, ys[1:], strict=False)],)], "gaps array<double>")
+    assert abs(gaps.select(split_threshold(F.col("gaps")).alias("x")).first().x - want) < 1e-9
 
 
 def test_grids_and_side_panels(spark):
@@ -99,8 +109,14 @@ def test_grids_and_side_panels(spark):
     p = pages(spark, (spans, rects))
     layout = L.Layout()
     at = L.placed(L.with_roles(S.spans(p), spark.createDataFrame(RULES, L.RULES), layout), L.regions(S.rects(p), layout), layout)
-    got = T.side_panels(T.grids(at)).collect()
-    assert [(r.header, r.rows) for r in got] == [(["H"], [["a"], ["b"]])]
+    found = T.grids(at).withColumn("caption", F.lit(None).cast("string")).withColumn("no", F.substring("region", 6, 9).cast("int"))
+    assert [(r.header, r.rows) for r in T.side_panels(found, ["page"], ["no"]).collect()] == [(["H"], [["a"], ["b"]])]
+
+
+def test_side_panels_go_on_without_caption(spark):
+    rows = [(0, 1, "Cap", ["A", "B"], [["1", "2"]]), (1, 1, None, ["A", "B"], [["3", "4"]]), (2, 1, None, ["A|B"], [["5"]]), (3, 1, "New", ["A|B"], [["6"]]), (4, 2, None, ["A|B"], [["7"]]), (9, 2, None, [], [["8"]]), (10, 2, None, [], [["9"]])]
+    got = T.side_panels(spark.createDataFrame(rows, "seq int, page int, caption string, header array<string>, rows array<array<string>>").withColumn("doc", F.lit("d")), ["doc"], ["seq"])
+    assert [(r.seq, r.caption, [x[0] for x in r.rows]) for r in got.orderBy("seq").collect()] == [(0, "Cap", ["1", "3"]), (2, None, ["5"]), (3, "New", ["6"]), (4, None, ["7"]), (9, None, ["8"]), (10, None, ["9"])]
 
 
 def test_page_source_and_round_trip(spark, tmp_path):
