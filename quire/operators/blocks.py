@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import groupby, islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quire.functions.text import list_kind
 from quire.operators.sequence import islands, ordered_list
@@ -39,31 +42,40 @@ BODY = {"paragraph", "bullet", "step", "definition"}
 FOLDED = "page int, block int, seq int, kind string, role string, column int, region string, level int, text string, md string, lines int, y0 double, y1 double, x0 double, x1 double"
 
 
-def fold_page(lines: Iterable[dict], *, block_gap: float = 6.0, indent: float = 4.0) -> list[dict]:
-    """One page's lines, in reading order, as blocks.
+def folded(lines: Iterable[dict], *, block_gap: float = 6.0, indent: float = 4.0) -> Iterator[dict]:
+    """One page's lines, in reading order, as blocks; only the open block is held.
 
     A line goes on with the open block if it has its region and column and fits: a heading goes on with
     lines of its role within 1.8 sizes; a table takes its region's lines; body text goes on while the
     gap stays small, no marker and no bold run-in opens something new and the line isn't indented
     against the line before. All else opens a block.
     """
-    out: list[dict] = []
+    open_: dict | None = None
     last: dict | None = None
     for line in lines:
         kind = _kind(line)
-        open_ = out[-1] if out else None
         if open_ is not None and last is not None and _goes_on(open_, last, line, kind, block_gap, indent):
-            glue = "" if last["text"].rstrip().endswith("­") else " "
             for key in ("text", "md"):
-                if key in open_:
-                    open_[key] = (open_[key].rstrip().rstrip("­") if not glue else open_[key]) + glue + (line.get(key) or line["text"])
+                parts = open_[key]
+                if last["text"].rstrip().endswith("­"):
+                    parts[-1] = parts[-1].rstrip().rstrip("­")
+                else:
+                    parts.append(" ")
+                parts.append(line.get(key) or line["text"])
             open_["lines"] += 1
             open_["y1"] = max(open_["y1"], line["y"])
             open_["x0"], open_["x1"] = min(open_["x0"], line["x0"]), max(open_["x1"], line["x1"])
         else:
-            out.append({"seq": line["seq"], "kind": kind, "role": line["role"], "column": line["column"], "region": line["region"], "level": line.get("level"), "text": line["text"], "md": line.get("md") or line["text"], "lines": 1, "y0": line["y"] - line["size"], "y1": line["y"], "x0": line["x0"], "x1": line["x1"]})
+            if open_ is not None:
+                yield open_ | {"text": "".join(open_["text"]), "md": "".join(open_["md"])}
+            open_ = {"seq": line["seq"], "kind": kind, "role": line["role"], "column": line["column"], "region": line["region"], "level": line.get("level"), "text": [line["text"]], "md": [line.get("md") or line["text"]], "lines": 1, "y0": line["y"] - line["size"], "y1": line["y"], "x0": line["x0"], "x1": line["x1"]}
         last = line
-    return out
+    if open_ is not None:
+        yield open_ | {"text": "".join(open_["text"]), "md": "".join(open_["md"])}
+
+
+def fold_page(lines: Iterable[dict], **limits: float) -> list[dict]:
+    return list(folded(lines, **limits))
 
 
 def _kind(line: dict) -> str:
@@ -103,21 +115,20 @@ def _goes_on(block: dict, last: dict, line: dict, kind: str, block_gap: float, i
 def page_blocks(lines: DataFrame, **limits: float) -> DataFrame:
     """Blocks of each page from its lines (page, seq, role, text, column, region, level, size, x0, x1, y, bold, bold_open).
 
-    The fold depends on the open block, so a page's lines are gathered; pages bound the groups.
+    The fold depends on the open block, so a page's lines come to one task in order; they stream through
+    it and are never gathered.
     """
+    kind = lines.schema["page"].dataType
+    schema = T._parse_datatype_string(FOLDED.replace("page int", f"page {kind.simpleString()}", 1))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in batch.to_pylist())
+        made = ({"page": page, "block": k} | b for page, own in groupby(rows, key=lambda r: r["page"]) for k, b in enumerate(folded(own, **limits)))
+        while out := list(islice(made, 2000)):
+            yield pa.RecordBatch.from_pylist(out, arrow)
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("seq").to_dict("records")
-        for r in rows:
-            r["region"] = r["region"] if isinstance(r["region"], str) else None
-            r["level"] = None if r["level"] is None or r["level"] != r["level"] else int(r["level"])
-        got = pd.DataFrame(fold_page(rows, **limits))
-        got.insert(0, "page", rows[0]["page"])
-        got.insert(1, "block", range(len(got)))
-        got["level"] = got["level"].astype("Int32")
-        return got
-
-    return lines.groupBy("page").applyInPandas(fold, FOLDED)
+    arrow = to_arrow_schema(schema)
+    return lines.repartition("page").sortWithinPartitions("page", "seq").mapInArrow(fold, schema)
 
 
 def stitched(df: DataFrame, by: list[str], order: list[str], text: str, places: list[str], *, may: Column | None = None, also: list[str] | None = None) -> DataFrame:

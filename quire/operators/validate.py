@@ -26,3 +26,8 @@ def report(title: str, checks: DataFrame, most: int = 50) -> tuple[str, bool]:
     ok = all(r["passed"] for r in rows)
     body = [f"| {r['name']} | {r['expected']} | {r['actual']} | {'OK' if r['passed'] else 'FAIL'} |" for r in rows]
     return "\n".join([f"# {title}", "", "| Check | Expected | Actual | Result |", "|---|---|---|---|", *body, "", "OK" if ok else "FAIL", ""]), ok
+
+
+def missing(some: DataFrame, among: DataFrame, key: str) -> DataFrame:
+    """Keys of some that aren't among the others, each once: none where the one is a subset."""
+    return some.select(key).distinct().join(among.select(key).distinct(), key, "left_anti")

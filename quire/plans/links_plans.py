@@ -107,14 +107,6 @@ def region_first_match(spark, sf_dir):
     return got.select("o_orderkey", F.coalesce("t", "s").alias("box"))
 
 
-@plans.add(f"WITH {BOX_SQL} SELECT a.idx, a.kind FROM boxes a WHERE NOT EXISTS (SELECT 1 FROM boxes b WHERE b.idx <> a.idx AND a.x0 >= b.x0 - 6 AND a.y0 >= b.y0 - 6 AND a.x1 <= b.x1 + 6 AND a.y1 <= b.y1 + 6)")
-def anti_containment(spark, sf_dir):
-    a = spark.createDataFrame(BOXES, BOX_COLUMNS)
-    b = a.select(*[F.col(c).alias(f"o_{c}") for c in a.columns])
-    inside = (F.col("idx") != F.col("o_idx")) & (F.col("x0") >= F.col("o_x0") - 6) & (F.col("y0") >= F.col("o_y0") - 6) & (F.col("x1") <= F.col("o_x1") + 6) & (F.col("y1") <= F.col("o_y1") + 6)
-    return a.join(b, inside, "left_anti").select("idx", "kind")
-
-
 def _events(spark, sf_dir):
     return table(spark, sf_dir, "events").withColumn("at", (F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("bigint"))
 

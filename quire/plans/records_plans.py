@@ -42,16 +42,6 @@ def bbox(spark, sf_dir):
     )
 
 
-@plans.add("""SELECT source, count(*) AS n, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM documents GROUP BY source""")
-def by_page_index(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",").alias("ids"))
-
-
-@plans.add("""SELECT 'part/' || CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_size AS page FROM part""")
-def by_id_index(spark, sf_dir):
-    return table(spark, sf_dir, "part").select(F.concat(F.lit("part/"), F.col("p_partkey").cast("string")).alias("id"), F.coalesce("p_name", "p_type").alias("name"), F.col("p_size").alias("page"))
-
-
 NATION = ["n_nationkey", "n_name", "n_regionkey"]
 
 
@@ -106,12 +96,6 @@ def split_sections(spark, sf_dir):
     return got.withColumn("split", F.col("n") > 40)
 
 
-@plans.add("""SELECT conv_id, string_agg(role || chr(10) || text, chr(10) ORDER BY turn, role) AS body FROM conversations GROUP BY conv_id""")
-def searchable_text(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").withColumn("part", F.concat_ws("\n", "role", "text"))
-    return rows.groupBy("conv_id").agg(F.array_join(Q.ordered_list(["turn", "role"], "part"), "\n").alias("body"))
-
-
 @plans.add("""SELECT event_type, count(*) AS baselines FROM (SELECT DISTINCT event_type, user_id, date_trunc('minute', ts) FROM events) GROUP BY event_type""")
 def distinct_baselines(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_type", "user_id", F.date_trunc("minute", "ts").alias("m")).distinct().groupBy("event_type").agg(F.count("*").alias("baselines"))
@@ -209,9 +193,3 @@ def block_enumeration(spark, sf_dir):
     got = c.groupBy("conv_id").agg(part(F.col("role") == "user").alias("a"), part(F.col("role") != "user").alias("b"))
     each = F.explode(T.enumerated([("asked", F.col("a")), ("told", F.col("b"))])).alias("x")
     return got.select("conv_id", each).select("conv_id", "x.part", F.col("x.no").cast("bigint").alias("no"), "x.md")
-
-
-@plans.add("""SELECT p_partkey, '{"id":"part.' || p_partkey || '"' || CASE WHEN p_size > 25 THEN ',"size":' || p_size ELSE '' END || ',"page":' || p_size || '}' AS entry FROM part""")
-def index_projection(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("part."), F.col("p_partkey").cast("string")).alias("id"), F.when(F.col("p_size") > 25, F.col("p_size")).alias("size"), F.col("p_size").alias("page"))
-    return rows.select("p_partkey", F.to_json(F.struct("id", "size", "page"), {"ignoreNullFields": "true"}).alias("entry"))

@@ -31,12 +31,6 @@ def gap_bands(spark, sf_dir):
     return e.groupBy("user_id", "run").agg(F.count("*").alias("n"), F.min("event_id").alias("low"), F.max("event_id").alias("high"))
 
 
-@plans.add(f"WITH {GAPS} SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY run, event_id % 2, ts, event_id) AS place FROM r")
-def reading_order(spark, sf_dir):
-    e = Q.gap_islands(events(spark, sf_dir), ["user_id"], ["ms", "event_id"], F.col("ms"), 2_400_000)
-    return e.select("event_id", F.row_number().over(W.partitionBy("user_id").orderBy("run", F.col("event_id") % 2, "ms", "event_id")).cast("bigint").alias("place"))
-
-
 @plans.add("""WITH RECURSIVE v AS (SELECT o_custkey AS k, list_sort(list(o_totalprice)) AS xs FROM orders GROUP BY o_custkey), b(k, xs, i, start, n) AS (SELECT k, xs, 1, xs[1], 1 FROM v UNION ALL
     SELECT k, xs, i + 1, CASE WHEN xs[i + 1] - start > 40000 THEN xs[i + 1] ELSE start END, CASE WHEN xs[i + 1] - start > 40000 THEN n + 1 ELSE n END FROM b WHERE i < len(xs)) SELECT k AS o_custkey, CAST(max(n) AS BIGINT) AS bands, max(start) AS last_start FROM b GROUP BY k""")
 def anchored_bands(spark, sf_dir):
@@ -64,14 +58,6 @@ def interval_merge(spark, sf_dir):
     return Q.merged_intervals(s, ["o_custkey"], "x0", "x1", 7)
 
 
-@plans.add("""WITH c(i, x0, x1) AS (VALUES (0, 900.0, 1000.0), (1, 1100.0, 1250.0), (2, 1400.0, 1600.0), (3, 1900.0, 2000.0)) SELECT p_partkey, arg_min(i, struct_pack(d := greatest(x0 - p_retailprice, p_retailprice - x1, 0), i := i)) AS col FROM part CROSS JOIN c GROUP BY p_partkey""")
-def nearest_column(spark, sf_dir):
-    cols = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("x0"), F.lit(b).alias("x1")) for i, (a, b) in enumerate([(900.0, 1000.0), (1100.0, 1250.0), (1400.0, 1600.0), (1900.0, 2000.0)])])
-    x = F.col("p_retailprice")
-    far = F.transform(cols, lambda c: F.struct(F.greatest(c["x0"] - x, x - c["x1"], F.lit(0.0)).alias("d"), c["i"].alias("i")))
-    return table(spark, sf_dir, "part").select("p_partkey", F.array_min(far)["i"].alias("col"))
-
-
 @plans.add("""WITH g AS (SELECT user_id, (epoch_ms(ts) - lag(epoch_ms(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)) / 60000.0::DOUBLE AS gap FROM events), k AS (SELECT user_id, list_sort(list(round_even(gap, 1))) AS xs FROM g WHERE gap > 0.5 GROUP BY user_id),
     f AS (SELECT user_id, list_filter(xs, lambda x: x * 2 >= xs[len(xs)]) AS xs FROM k), s AS (SELECT user_id, xs, list_max(list_transform(range(1, len(xs)), lambda i: struct_pack(r := xs[i + 1] / xs[i], o := -i, m := (xs[i + 1] + xs[i]) / 2))) AS best FROM f)
     SELECT u.user_id, round(CASE WHEN xs IS NULL THEN 0 WHEN len(xs) > 1 AND best.r >= 1.15 THEN best.m ELSE xs[1] - 1 END, 4) AS threshold FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN s ON s.user_id = u.user_id""")
@@ -82,24 +68,13 @@ def adaptive_threshold(spark, sf_dir):
     return gaps.select("user_id", F.round(Q.split_threshold(F.col("gaps")), 4).alias("threshold"))
 
 
-@plans.add("""SELECT conv_id, string_agg(text, ' ' ORDER BY turn) FILTER (role = 'user') AS label, string_agg(text, ' ' ORDER BY turn, role) FILTER (role <> 'user') AS value FROM conversations GROUP BY conv_id""")
-def kv_by_role(spark, sf_dir):
-    lines = lambda cond: F.array_join(Q.ordered_list(["turn", "role"], "text", cond), " ")
-    got = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(lines(F.col("role") == "user").alias("label"), lines(F.col("role") != "user").alias("value"))
-    return got.select("conv_id", F.nullif("label", F.lit("")).alias("label"), F.nullif("value", F.lit("")).alias("value"))
-
-
-@plans.add("""WITH d AS (SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) THEN 1 ELSE 0 END AS o FROM events), r AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM d)
-    SELECT user_id, CAST(run AS BIGINT) AS run, any_value(event_type) AS kind, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts, event_id) AS ids FROM r GROUP BY user_id, run""")
-def adjacent_merge(spark, sf_dir):
-    e = Q.change_islands(events(spark, sf_dir), ["user_id"], ["ms", "event_id"], F.col("event_type")).withColumn("id", F.col("event_id").cast("string"))
-    return e.groupBy("user_id", "run").agg(F.first("event_type").alias("kind"), F.count("*").alias("n"), F.array_join(Q.ordered_list(["ms", "event_id"], "id"), ",").alias("ids"))
-
-
-@plans.add()
+@plans.add(r"""WITH l AS (SELECT doc_id AS page, i - 1 AS seq, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))),
+    k AS (SELECT *, CASE WHEN trim(line) = '' THEN 'paragraph' WHEN starts_with(ltrim(line), '•') THEN 'bullet' WHEN regexp_matches(line, '^\s*\d+\s*:') THEN 'step' WHEN contains(line, ' | ') THEN 'paragraph' WHEN regexp_matches(line, '^[^a-z]*$') THEN 'heading' ELSE 'paragraph' END AS kind FROM l),
+    o AS (SELECT *, CASE WHEN seq = 0 OR kind IN ('bullet', 'step') OR (kind = 'heading') <> (lag(kind) OVER (PARTITION BY page ORDER BY seq) = 'heading') THEN 1 ELSE 0 END AS opens FROM k), r AS (SELECT *, sum(opens) OVER (PARTITION BY page ORDER BY seq) AS run FROM o)
+    SELECT page, CAST(run - 1 AS INTEGER) AS block, arg_min(kind, seq) AS kind, CAST(count(*) AS INTEGER) AS lines, string_agg(line, ' ' ORDER BY seq) AS text FROM r GROUP BY page, run""")
 def line_blocks(spark, sf_dir):
     """Documents' lines as pages, folded into blocks; the document is the page."""
-    lines = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("page"), F.posexplode(F.split("text", "\n")).alias("seq", "text"))
+    lines = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page"), F.posexplode(F.split("text", "\n")).alias("seq", "text"))
     kind = B.line_kind(F.col("text"))
     lines = lines.select("page", "seq", F.when(kind == "heading", "section").otherwise("body").alias("role"), "text", F.lit(0).alias("column"), F.lit(None).cast("string").alias("region"), F.lit(None).cast("int").alias("level"), F.lit(10.0).alias("size"), F.lit(0.0).alias("x0"), F.length("text").cast("double").alias("x1"), (F.col("seq") * 12.0).alias("y"), F.lit(False).alias("bold"), F.lit(False).alias("bold_open"))
     return B.page_blocks(lines).select("page", "block", "kind", "lines", "text")
