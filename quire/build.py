@@ -7,6 +7,7 @@ import json
 import os
 import shutil
 import sys
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,18 +53,22 @@ def layout_of(config: dict) -> L.Layout:
     return L.Layout(**{k: tuple(v) if isinstance(v, list) else v for k, v in config.get("layout", {}).items()})
 
 
-def blocks_of(pages: DataFrame, rules: DataFrame, layout: L.Layout, doc: str = "book") -> DataFrame:
-    """Blocks of all pages in document order: text folded from lines, tables as grids with the caption nearest above."""
-    lines = L.page_lines(pages, rules, layout)
+def blocks_of(pages: DataFrame, rules: DataFrame, layout: L.Layout, doc: str = "book", store: Callable[[str, DataFrame], DataFrame] = lambda _, df: df) -> DataFrame:
+    """Blocks of all pages in document order: text folded from lines, tables as grids with the caption nearest above.
+
+    store may keep what is read several times, and give it back.
+    """
+    found = store("regions", L.regions(S.rects(pages), layout))
+    spans = store("spans", L.placed(L.with_roles(S.spans(pages), rules, layout), found, layout))
+    lines = store("lines", L.reading_order(L.lines(spans, layout), layout))
     caption = F.col("role") == "table.caption"
     inside = F.coalesce(F.col("region").startswith("table"), F.lit(False))
     folded = B.page_blocks(lines.filter(~inside & ~F.coalesce(caption, F.lit(False))).select("page", F.col("seq").cast("int").alias("seq"), F.coalesce("role", F.lit("body")).alias("role"), "text", "md", "column", "region", "level", "size", "x0", "x1", "y", F.coalesce(F.col("parts")[0]["role"].isin(*layout.strong, *layout.strong_em), F.lit(False)).alias("bold"), F.coalesce(F.element_at("parts", -1)["role"].isin(*layout.strong, *layout.strong_em), F.lit(False)).alias("bold_open")))
     text = folded.select("page", F.col("seq").cast("double").alias("at"), "kind", "level", "text", "md", "region", F.lit(None).cast("array<string>").alias("header"), F.lit(None).cast("array<array<string>>").alias("rows"), F.lit(None).cast("string").alias("caption"), "column")
-    spans = L.placed(L.with_roles(S.spans(pages), rules, layout), L.regions(S.rects(pages), layout), layout)
     # a table of which most lines are a stat block's is one of its parts
     stat = F.count_if(F.col("role").startswith("statblock.")) * 2 > F.count("*")
     where = lines.filter(inside).groupBy("page", "region").agg(F.min("seq").cast("double").alias("at"), F.min("x0").alias("t0"), F.max("x1").alias("t1"), F.min_by("column", "seq").alias("column"), F.coalesce(stat, F.lit(False)).alias("stat"), F.array_join(ordered_list(["seq"], "text"), " ").alias("lines"))
-    grids = T.grids(spans).join(where, ["page", "region"])
+    grids = store("grids", T.grids(spans)).join(where, ["page", "region"])
     # each caption goes to one table: the nearest below it whose extent it overlaps
     named = lines.filter(caption).select("page", F.col("text").alias("caption"), F.col("y").alias("cy"), F.col("x0").alias("c0"), F.col("x1").alias("c1"))
     near = grids.join(named, "page").filter((F.col("y0") - F.col("cy") > 0) & (F.col("y0") - F.col("cy") <= 60) & (F.col("c0") <= F.col("t1") + 8) & (F.col("c1") >= F.col("t0") - 8))
@@ -103,7 +108,13 @@ def run(spark: SparkSession, step: str, pages: str, out: str, config: dict) -> b
         S.read_pages(spark, pages).write.mode("overwrite").parquet(book("pages"))
         S.unknown(S.inventory(S.spans(spark.read.parquet(book("pages")))), rules_of(spark, config)).write.mode("overwrite").parquet(book("unknown"))
     elif step == "blocks":
-        stitched(blocks_of(spark.read.parquet(book("pages")), rules_of(spark, config), layout_of(config))).write.mode("overwrite").parquet(book("blocks"))
+
+        def store(name: str, df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(book(f"work/{name}"))
+            return spark.read.parquet(book(f"work/{name}"))
+
+        at = store("blocks", blocks_of(spark.read.parquet(book("pages")), rules_of(spark, config), layout_of(config), store=store))
+        stitched(at).write.mode("overwrite").parquet(book("blocks"))
     elif step == "document":
         D.nodes(spark.read.parquet(book("blocks"))).write.mode("overwrite").parquet(book("nodes"))
     elif step == "collect":

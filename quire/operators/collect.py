@@ -192,7 +192,8 @@ def monsters(nodes: DataFrame, words: Words) -> DataFrame:
     kind, size, alignment, tags = P.meta_line(F.col("meta"))
     heads = F.array_join(F.transform(F.filter("children", lambda c: c["type"] == "header"), lambda c: c["text"]), " ")
     at = at.withColumn("stats", labelled_slices(heads, list(STATS.values())))
-    prop = lambda key: F.coalesce(_property(F.col("children"), key), F.try_element_at("stats", F.lit(STATS[key])))
+    at = at.withColumns({f"stat_{key}": F.coalesce(_property(F.col("children"), key), F.try_element_at("stats", F.lit(label))) for key, label in STATS.items()})
+    prop = lambda key: F.col(f"stat_{key}")
     average, formula = P.hit_points(prop("pg"))
     mod, score = P.initiative(prop("iniciativa"))
     cr, xp, bonus, lair = P.challenge(prop("vd"))
