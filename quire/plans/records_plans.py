@@ -53,6 +53,13 @@ def schema_profile(spark, sf_dir):
     return a.unionByName(b).select("path", F.array_join("types", "|").alias("types"), "nullable", "present", "strings")
 
 
+@plans.add("""WITH c AS (SELECT conv_id, turn, role, text FROM conversations), n AS (SELECT count(DISTINCT conv_id) AS n FROM c) SELECT 'conv_id' AS path, 'integer' AS types, false AS nullable, n AS present, 0 AS strings FROM n UNION ALL SELECT 'turns', 'array', false, n, 0 FROM n UNION ALL SELECT 'turns[]', 'object', false, count(*), 0 FROM c UNION ALL SELECT 'turns[].role', 'string', count(role) < count(*), count(*), count(DISTINCT role) FROM c UNION ALL SELECT 'turns[].turn', 'integer', count(turn) < count(*), count(*), 0 FROM c UNION ALL SELECT 'turns[].sizes', 'object', false, count(*), 0 FROM c UNION ALL SELECT 'turns[].sizes.' || role, 'integer', count(text) < count(*), count(*), 0 FROM c GROUP BY role""")
+def schema_nested(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").withColumn("sizes", F.create_map("role", F.length("text")))
+    rows = turns.groupBy("conv_id").agg(F.collect_list(F.struct("turn", "role", "sizes")).alias("turns"))
+    return R.profile(R.nested_leaves(rows, ["conv_id", "turns"])).select("path", F.array_join("types", "|").alias("types"), "nullable", "present", "strings")
+
+
 @plans.add("""SELECT 'o_orderstatus' AS path, string_agg(DISTINCT o_orderstatus, '|' ORDER BY o_orderstatus) AS "values" FROM orders UNION ALL SELECT 'o_orderpriority', string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority) FROM orders""")
 def enum_extract(spark, sf_dir):
     return R.enumerations(R.leaves(table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])).select("path", F.array_join("values", "|").alias("values"))

@@ -186,3 +186,19 @@ def test_verdict_and_report(spark):
     assert tuple(V.verdict(checks).first()) == (2, 1, False)
     text, ok = V.report("Checks", checks)
     assert not ok and "| b | 2 | 3 | FAIL |" in text
+
+
+def test_nested_schema(spark):
+    from quire.operators import profile as R
+
+    kind = "id string, `a.b` int, parts array<struct<type: string, n: double, at: array<int>>>, notes map<string, string>"
+    rows = [("x", 1, [("t", 1.5, [1, None]), ("u", None, [])], {"k.1": "v"}), ("y", None, [("t", 2.0, [3])], {}), ("z", None, None, None)]
+    leaf = R.nested_leaves(spark.createDataFrame(rows, kind), ["id", "a.b", "parts", "notes"]).filter("type != 'null' OR endswith(path, '[]')")
+    got = json.loads(R.json_schema("t", R.profile(leaf), R.enumerations(leaf), len(rows)))["items"]
+    assert got["required"] == ["id"] and got["properties"]["a.b"] == {"type": "integer"}
+    part = got["properties"]["parts"]["items"]
+    assert part["required"] == ["at", "type"] and part["properties"]["type"] == {"type": "string", "enum": ["t", "u"]}
+    assert part["properties"]["at"] == {"type": "array", "items": {"type": ["integer", "null"]}} and part["properties"]["n"] == {"type": "number"}
+    assert got["properties"]["notes"]["properties"] == {"k.1": {"type": "string", "enum": ["v"]}}
+    empty = R.nested_leaves(spark.createDataFrame([], kind), ["id", "parts"])
+    assert json.loads(R.json_schema("t", R.profile(empty), R.enumerations(empty), 0))["items"] == {"type": "object"}
