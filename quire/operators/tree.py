@@ -5,16 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark's setting of rows in a recursive query, and its default.
+ROW_LIMIT, ROWS = "spark.sql.cteRecursionRowLimit", "1000000"
 
-def walk(spark: SparkSession, nodes: DataFrame, *, label: str = "title") -> DataFrame:
-    """nodes with depth and path: the ancestors' labels from the root down, not their own. One recursive query, a join for each level."""
-    nodes.createOrReplaceTempView("__nodes")
-    return spark.sql(f"""
-        WITH RECURSIVE t(node_id, parent_id, pos, type, label, depth, path) AS (
-            SELECT node_id, parent_id, pos, type, {label}, 0, CAST(array() AS ARRAY<STRING>) FROM __nodes WHERE parent_id IS NULL
+
+def walk(spark: SparkSession, nodes: DataFrame, *, label: str = "title", levels: int = 100) -> DataFrame:
+    """nodes with depth and path: the ancestors' labels from the root down, not their own. One recursive query, a join for each level.
+
+    A tree of more levels fails. Spark stops recursive queries at a number of rows, read when they run; as a tree has
+    as many as it has, that limit is lifted for the session unless the user has set one.
+    """
+    if spark.conf.get(ROW_LIMIT) == ROWS:
+        spark.conf.set(ROW_LIMIT, "-1")
+    return spark.sql(
+        f"""
+        WITH RECURSIVE t(node_id, parent_id, pos, type, label, depth, path) MAX RECURSION LEVEL {levels} AS (
+            SELECT node_id, parent_id, pos, type, {label}, 0, CAST(array() AS ARRAY<STRING>) FROM {{nodes}} WHERE parent_id IS NULL
             UNION ALL
-            SELECT n.node_id, n.parent_id, n.pos, n.type, n.{label}, t.depth + 1, array_append(t.path, t.label) FROM __nodes n JOIN t ON n.parent_id = t.node_id)
-        SELECT * FROM t""")
+            SELECT n.node_id, n.parent_id, n.pos, n.type, n.{label}, t.depth + 1, array_append(t.path, t.label) FROM {{nodes}} n JOIN t ON n.parent_id = t.node_id)
+        SELECT * FROM t""",
+        nodes=nodes,
+    )
 
 
 def context(path: Column) -> Column:

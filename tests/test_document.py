@@ -202,3 +202,10 @@ def test_nested_schema(spark):
     assert got["properties"]["notes"]["properties"] == {"k.1": {"type": "string", "enum": ["v"]}}
     empty = R.nested_leaves(spark.createDataFrame([], kind), ["id", "parts"])
     assert json.loads(R.json_schema("t", R.profile(empty), R.enumerations(empty), 0))["items"] == {"type": "object"}
+
+
+def test_walk_of_many_nodes(spark):
+    many = spark.range(1_000_500)
+    nodes = many.select(F.col("id").cast("string").alias("node_id"), F.when(F.col("id") > 0, "0").alias("parent_id"), F.col("id").alias("pos"), F.lit("x").alias("type"), F.lit("t").alias("title"))
+    assert T.walk(spark, nodes).agg(F.count("*"), F.max("depth")).first() == (1_000_500, 1)
+    assert not [t for t in spark.catalog.listTables() if t.isTemporary and "nodes" in t.name]
