@@ -62,17 +62,19 @@ def regions(rects: DataFrame, layout: Layout) -> DataFrame:
 
 def placed(spans: DataFrame, found: DataFrame, layout: Layout) -> DataFrame:
     """Spans that stay, with region (table before sidebar) and column (-1 over the full width)."""
-    box = {c: F.col(c) for c in ("x0", "y0", "x1", "y1")}
     spans = spans.filter(~F.col("discard"))
     aside = F.coalesce((F.col("role") == "table.caption") | F.col("role").startswith("statblock.ability"), F.lit(False))
-    table, x, y = F.col("kind") == "table", F.col("x"), F.col("y")
-    within = table & ~aside & contains(x, y, box, 4, 3, 12)
-    above = table & (F.col("role") == "table.header") & x.between(F.col("x0") - 4, F.col("x1") + 4) & (F.col("y0") - y > 0) & (F.col("y0") - y <= layout.header_reach)
-    boxed = (F.col("kind") == "sidebar") & contains(x, y, box)
-    at = spans.join(found, "page", "left")
-    wide = F.struct("idx", (F.col("x1") - F.col("x0")).alias("w"))
+    x, y = F.col("x"), F.col("y")
+    table = lambda b: b["kind"] == "table"
+    within = lambda b: table(b) & ~aside & contains(x, y, b, 4, 3, 12)
+    above = lambda b: table(b) & (F.col("role") == "table.header") & x.between(b["x0"] - 4, b["x1"] + 4) & (b["y0"] - y > 0) & (b["y0"] - y <= layout.header_reach)
+    boxed = lambda b: (b["kind"] == "sidebar") & contains(x, y, b)
+    # a page's regions come as one array, so that each span stays one row and none has to be put together again
+    at = spans.join(found.groupBy("page").agg(F.collect_list(F.struct("kind", "idx", "x0", "y0", "x1", "y1")).alias("boxes")), "page", "left")
+    least = lambda cond, take: F.array_min(F.transform(F.filter("boxes", cond), take))
+    wide = lambda b: F.struct(b["idx"].alias("idx"), (b["x1"] - b["x0"]).alias("w"))
     keys = [c for c in spans.columns]
-    got = at.groupBy(*keys).agg(F.min(F.when(within, wide)).alias("t1"), F.min(F.when(above, wide)).alias("t2"), F.min(F.when(boxed, F.col("idx"))).alias("sb"))
+    got = at.select(*keys, least(within, wide).alias("t1"), least(above, wide).alias("t2"), least(boxed, lambda b: b["idx"]).alias("sb"))
     t = F.coalesce("t1", "t2")
     region = F.when(t.isNotNull(), F.concat(F.lit("table"), t["idx"].cast("string"))).when(F.col("sb").isNotNull(), F.concat(F.lit("sidebar"), F.col("sb").cast("string")))
     column = F.when(t["w"] >= layout.full_width, -1).when(x < layout.column_split, 0).otherwise(1)

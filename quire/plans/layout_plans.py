@@ -25,7 +25,10 @@ ROLE_SQL = "CASE l_returnflag WHEN 'A' THEN 'table.header' WHEN 'N' THEN 'body'
 
 def items(spark, sf_dir):
     names = ("l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
-    g = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("k")).agg(*[F.min(c).alias(c) for c in names])
+    # dealt by order beforehand: least strings are found by sorting, which so is done once, of partitions, not of whole input
+    # splits too. By number, since partitions joined by their bytes as shuffled take many times that in the sorts that follow.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    g = table(spark, sf_dir, "lineitem").repartition(parts, "l_orderkey").groupBy("l_orderkey", F.col("l_linenumber").alias("k")).agg(*[F.min(c).alias(c) for c in names])
     return g.withColumn("l_linenumber", F.row_number().over(W.partitionBy("l_orderkey").orderBy("k")))
 
 
@@ -46,7 +49,7 @@ def span_regions(spark, sf_dir):
     """Containment, headers above, priorities, column and full width."""
     of = spans(spark, sf_dir)
     boxes = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(i).alias("idx"), *[F.lit(v).alias(n) for n, v in zip(("x0", "y0", "x1", "y1"), b, strict=True)]) for k, i, *b in BOXES])).alias("b")
-    found = of.select("page").distinct().select("page", boxes).select("page", "b.*")
+    found = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page")).distinct().select("page", boxes).select("page", "b.*")
     return L.placed(of, found, LAYOUT).select("page", "pos", "region", F.col("column").alias("side"))
 
 

@@ -129,3 +129,14 @@ def test_page_source_and_round_trip(spark, tmp_path):
     assert S.fingerprint(spark, f"{tmp_path}/p/part*").count() >= 1
     inv = S.inventory(S.spans(p))
     assert inv.first().n == 1 and S.unknown(inv, spark.createDataFrame(RULES, L.RULES)).count() == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spans_are_placed_without_being_sorted_by_all_they_have(spark):
+    at = spark.createDataFrame([(1, i, 60.0 * i, 50.0, "cell", False) for i in range(5)], "page int, pos int, x double, y double, role string, discard boolean")
+    found = spark.createDataFrame([(1, "table", 0, 40.0, 40.0, 100.0, 60.0), (1, "table", 1, 50.0, 40.0, 130.0, 60.0), (1, "sidebar", 0, 170.0, 0.0, 200.0, 90.0)], "page int, kind string, idx int, x0 double, y0 double, x1 double, y1 double")
+    got = L.placed(at, found, L.Layout())
+    assert "SortAggregate" not in plan(got) and [r.region for r in got.orderBy("pos").collect()] == [None, "table0", "table1", "sidebar0", None]
