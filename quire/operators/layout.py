@@ -162,17 +162,17 @@ def reading_order(of: DataFrame, layout: Layout) -> DataFrame:
     Bands are chains of full-width lines no more than band_gap apart. A line beside a band, not part of
     it, is read with what comes before the band's end: none is lost.
     """
-    wide = F.col("column") == -1
-    w = W.partitionBy("page", wide).orderBy("y", "x0")
+    wide = F.coalesce(F.col("column") == -1, F.lit(False))
+    w = W.partitionBy("page").orderBy(~wide, "y", "x0")
     at = of.withColumn("opens", wide & (F.lag("y").over(w).isNull() | (F.col("y") - F.lag("y").over(w) > layout.band_gap)))
     at = at.withColumn("band", F.when(wide, F.sum(F.col("opens").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))))
-    # other lines come after the bands that end above them
-    last = at.filter("band is not null").groupBy("page", "band").agg(F.max("y").alias("bottom")).withColumnRenamed("band", "b")
-    slots = at.join(last.groupBy("page").agg(F.array_sort(F.collect_list("bottom")).alias("bottoms")), "page", "left")
-    before = F.size(F.filter(F.coalesce("bottoms", F.array().cast("array<double>")), lambda b: b < F.col("y")))
-    slot = F.when(F.col("band").isNotNull(), F.col("band") * 2 - 1).otherwise(before * 2)
+    at = at.withColumn("closes", wide & F.coalesce(F.lead(F.col("opens") | ~wide).over(w), F.lit(True)))
+    # other lines come after the bands that end above them: at one height the band's last line is counted later
+    above = W.partitionBy("page").orderBy("y", "closes").rowsBetween(W.unboundedPreceding, 0)
+    slots = at.withColumn("before", F.sum(F.col("closes").cast("int")).over(above))
+    slot = F.when(F.col("band").isNotNull(), F.col("band") * 2 - 1).otherwise(F.col("before") * 2)
     ordered = W.partitionBy("page").orderBy(slot, F.when(F.col("band").isNull(), F.col("column")), "y", "x0")
-    return slots.withColumn("seq", F.row_number().over(ordered) - 1).drop("opens", "bottoms")
+    return slots.withColumn("seq", F.row_number().over(ordered) - 1).drop("opens", "closes", "before")
 
 
 def page_lines(pages: DataFrame, rules: DataFrame, layout: Layout | None = None) -> DataFrame:

@@ -140,3 +140,10 @@ def test_spans_are_placed_without_being_sorted_by_all_they_have(spark):
     found = spark.createDataFrame([(1, "table", 0, 40.0, 40.0, 100.0, 60.0), (1, "table", 1, 50.0, 40.0, 130.0, 60.0), (1, "sidebar", 0, 170.0, 0.0, 200.0, 90.0)], "page int, kind string, idx int, x0 double, y0 double, x1 double, y1 double")
     got = L.placed(at, found, L.Layout())
     assert "SortAggregate" not in plan(got) and [r.region for r in got.orderBy("pos").collect()] == [None, "table0", "table1", "sidebar0", None]
+
+
+def test_pages_are_dealt_once_for_reading_order(spark):
+    rows = [(1, "a", 0, 10.0), (1, "wide", -1, 10.0), (1, "on", -1, 40.0), (1, "beside", 0, 30.0), (1, "level", 1, 40.0), (1, "far", -1, 90.0), (1, "between", 0, 60.0), (1, "after", 0, 91.0), (2, "alone", 1, 5.0)]
+    got = L.reading_order(spark.createDataFrame(rows, "page int, t string, column int, y double").withColumn("x0", F.lit(1.0)), L.Layout())
+    assert plan(got).count("Exchange") == 1
+    assert [r.t for r in got.orderBy("page", "seq").collect()] == ["a", "beside", "level", "wide", "on", "between", "far", "after", "alone"]
