@@ -57,14 +57,14 @@ def split_threshold(gaps: Column) -> Column:
 
     def cut(kept: Column) -> Column:
         steps = F.transform(F.sequence(F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1))), lambda i: F.struct((F.get(kept, i) / F.get(kept, i - 1)).alias("r"), (-i).alias("o"), ((F.get(kept, i) + F.get(kept, i - 1)) / 2).alias("m")))
-        found = _let(F.array_max(steps), lambda best: F.when((F.size(kept) > 1) & (best["r"] >= 1.15), best["m"]).otherwise(F.get(kept, F.lit(0)) - 1))
+        found = let(F.array_max(steps), lambda best: F.when((F.size(kept) > 1) & (best["r"] >= 1.15), best["m"]).otherwise(F.get(kept, F.lit(0)) - 1))
         return F.when(F.size(kept) == 0, 0.0).otherwise(found)
 
-    half = lambda all_: _let(F.array_max(all_), lambda most: F.filter(all_, lambda g: g * 2 >= most))
-    return _let(sorted_gaps, lambda all_: _let(half(all_), cut))
+    half = lambda all_: let(F.array_max(all_), lambda most: F.filter(all_, lambda g: g * 2 >= most))
+    return let(sorted_gaps, lambda all_: let(half(all_), cut))
 
 
-def _let(value: Column, f) -> Column:
+def let(value: Column, f) -> Column:
     """f of a value that is worked out once."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
 

@@ -147,3 +147,10 @@ def test_pages_are_dealt_once_for_reading_order(spark):
     got = L.reading_order(spark.createDataFrame(rows, "page int, t string, column int, y double").withColumn("x0", F.lit(1.0)), L.Layout())
     assert plan(got).count("Exchange") == 1
     assert [r.t for r in got.orderBy("page", "seq").collect()] == ["a", "beside", "level", "wide", "on", "between", "far", "after", "alone"]
+
+
+def test_regions_are_gathered_once_for_grids(spark):
+    rows = [(1, "table0", 0, "H", 10.0, 0.0, "table.header"), (1, "table0", 1, "a", 10.0, 20.0, "cell"), (1, "table1", 2, "K", 10.0, 20.0, "table.header"), (1, "table1", 3, "v", 60.0, 20.0, "cell"), (2, "table0", 4, "only", 10.0, 5.0, "table.header"), (2, "sidebar0", 5, "none", 10.0, 5.0, "cell")]
+    got = T.grids(spark.createDataFrame(rows, "page int, region string, pos int, t string, x double, y double, role string").withColumn("bbox", F.lit(None).cast("array<double>")))
+    assert plan(got).count("Exchange") == 1 and "Join" not in plan(got)
+    assert [(r.header, r.rows) for r in got.orderBy("page", "region").collect()] == [(["H"], [["a"]]), ([], [["K", "v"]]), (["only"], [])]
